@@ -1,24 +1,21 @@
-"""Hash keys. Each is one shared expression, derived once per row."""
+"""Hash keys, as SQL over SQL: each is one shared expression, derived once per row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def flight_id(pilot: Column, status: Column, day: Column, airport: Column) -> Column:
+def flight_id(pilot: str, status: str, day: str, airport: str) -> str:
     """Flights carry no key of their own: pilot, status, day and airport identify one.
 
     ``concat`` (not ``concat_ws``) so that a NULL part gives a NULL key.
     """
-    return F.md5(F.concat(F.trim(F.lower(pilot)), status, F.date_format(day, "yyyy-MM-dd"), airport))
+    return f"md5(concat(trim(lower({pilot})), {status}, date_format({day}, 'yyyy-MM-dd'), {airport}))"
 
 
-def fact_id(passenger_id: Column, flight_sk: Column, day: Column) -> Column:
-    parts = [passenger_id, F.lit("|"), flight_sk.cast("string"), F.lit("|"), F.date_format(day, "yyyyMMdd")]
-    return F.md5(F.concat(*parts))
+def fact_id(passenger_id: str, flight_sk: str, day: str) -> str:
+    return f"md5(concat({passenger_id}, '|', cast({flight_sk} as string), '|', date_format({day}, 'yyyyMMdd')))"
 
 
-def row_id(keys: list[Column]) -> Column:
+def row_id(keys: list[str]) -> str:
     """Stable identity of a table row, from its key columns; NULLs stay distinct from text."""
-    return F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    cells = ", ".join(f"`{k}`" for k in keys)
+    return f"sha2(to_json(struct({cells}), map('ignoreNullFields', 'false')), 256)"

@@ -31,6 +31,3 @@ def to_whole(cell: Column, precision: int, target: str) -> Column:
 def to_day(cell: Column, day_format: str = DAY_FORMAT) -> Column:
     return F.try_to_date(cell, day_format)
 
-
-def fits(cell: Column, width: int) -> Column:
-    return F.coalesce(F.char_length(cell) <= width, F.lit(True))

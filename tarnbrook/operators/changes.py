@@ -70,7 +70,7 @@ def change_pairs(net: DataFrame, keys: list[str]) -> DataFrame:
     return (
         net.select(*keys, F.inline(images))
         .select(*keys, "row.*", "_action", "_is_update")
-        .withColumn("_row_id", row_id([F.col(k) for k in keys]))
+        .withColumn("_row_id", F.expr(row_id(keys)))
     )
 
 
@@ -98,6 +98,6 @@ def has_changes(changes: DataFrame) -> DataFrame:
     return changes.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_data"))
 
 
-def as_of(log: DataFrame, keys: list[str], order: list[Column], upto: Column, is_delete: Column) -> DataFrame:
+def as_of(log: DataFrame, keys: list[str], order: list[str], upto: Column, is_delete: Column) -> DataFrame:
     """State of an upsert log: the latest row per key where ``upto`` holds, without deleted keys."""
     return latest_per_key(log.where(upto), keys, order).where(~is_delete)

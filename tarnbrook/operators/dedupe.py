@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Keep the first row of each key in ``order``, which must be total.
+def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Keep the first row of each key in ``order`` (SQL such as ``ts desc``), which must be total.
 
     Catalyst plans the rn = 1 filter as a WindowGroupLimit on both sides of the
     shuffle: every map task forwards at most one row per key, so a key that
     holds a third of the table costs no more than any other.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
+    by = ", ".join(f"`{k}`" for k in keys)
+    number = F.expr(f"row_number() over (partition by {by} order by {', '.join(order)})")
+    return df.withColumn("_rn", number).where("_rn = 1").drop("_rn")

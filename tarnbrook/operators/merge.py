@@ -1,13 +1,14 @@
 """MERGE of a change source into a target, as joins.
 
-Clauses see the target as ``t`` and the source as ``s``. Of the matched
-clauses the first whose condition holds applies. NULL keys match nothing.
+Conditions and values are SQL expressions that see the target as ``t`` and the
+source as ``s``. Of the matched clauses the first whose condition holds
+applies. NULL keys match nothing.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,31 +18,27 @@ ACTION, IS_UPDATE = "_action", "_is_update"
 
 @dataclass(frozen=True)
 class Matched:
-    """WHEN MATCHED [AND when] THEN UPDATE SET ``assign``, or DELETE if that is None."""
+    """WHEN MATCHED AND ``when`` THEN UPDATE SET ``assign``, or DELETE if that is None."""
 
-    when: Column | None = None
-    assign: dict[str, Column] | None = None
+    when: str = "true"
+    assign: dict[str, str] | None = None
 
 
 @dataclass(frozen=True)
 class NotMatched:
-    """WHEN NOT MATCHED [AND when] THEN INSERT ``values``."""
+    """WHEN NOT MATCHED AND ``when`` THEN INSERT ``values``."""
 
-    values: dict[str, Column]
-    when: Column | None = None
+    values: dict[str, str]
+    when: str = "true"
 
 
-def from_source(columns: list[str]) -> dict[str, Column]:
-    return {c: F.col(f"s.{c}") for c in columns}
+def from_source(columns: list[str]) -> dict[str, str]:
+    return {c: f"s.`{c}`" for c in columns}
 
 
-def any_difference(columns: list[str]) -> Column:
+def any_difference(columns: list[str]) -> str:
     """True where source and target differ in one of ``columns`` (NULL equals NULL)."""
-    return reduce(lambda a, b: a | b, [~F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns])
-
-
-def _holds(condition: Column | None) -> Column:
-    return F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+    return "(" + " or ".join(f"not (s.`{c}` <=> t.`{c}`)" for c in columns) + ")"
 
 
 class Merge:
@@ -66,67 +63,61 @@ class Merge:
         self.matched, self.not_matched = matched, not_matched
         self.source_is_unique = source_is_unique
         self.columns = target.columns
+        self._types = dict(target.dtypes)
 
     # -- expressions -------------------------------------------------------
 
-    def _clause(self) -> Column:
+    def _clause(self) -> str:
         """Number of the first matched clause that holds, NULL if none does."""
-        picked = F.lit(None).cast("int")
-        for number, clause in reversed(list(enumerate(self.matched))):
-            picked = F.when(_holds(clause.when), F.lit(number)).otherwise(picked)
-        return picked
-
-    def _is_delete(self, clause: Column) -> Column:
-        numbers = [n for n, c in enumerate(self.matched) if c.assign is None]
-        return F.coalesce(clause.isin(*numbers), F.lit(False)) if numbers else F.lit(False)
-
-    def _is_update(self, clause: Column) -> Column:
-        numbers = [n for n, c in enumerate(self.matched) if c.assign is not None]
-        return F.coalesce(clause.isin(*numbers), F.lit(False)) if numbers else F.lit(False)
-
-    def _updated(self, column: str) -> Column:
-        value = F.col(f"t.{column}")
-        for number, clause in reversed(list(enumerate(self.matched))):
-            if clause.assign and column in clause.assign:
-                value = F.when(F.col("_clause") == number, clause.assign[column]).otherwise(value)
-        return value
-
-    def _inserted(self, column: str) -> Column:
-        value = (self.not_matched.values if self.not_matched else {}).get(column, F.lit(None))
-        return value.cast(self.target.schema[column].dataType)
+        cases = " ".join(f"when ({c.when}) then {n}" for n, c in enumerate(self.matched))
+        return f"case {cases} end" if cases else "cast(null as int)"
 
-    def _on(self) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in self.on])
+    def _is(self, delete: bool) -> str:
+        numbers = [str(n) for n, c in enumerate(self.matched) if (c.assign is None) == delete]
+        return f"coalesce(_clause in ({', '.join(numbers)}), false)" if numbers else "false"
+
+    def _updated(self, column: str) -> str:
+        cases = " ".join(
+            f"when {n} then cast({c.assign[column]} as {self._types[column]})"
+            for n, c in enumerate(self.matched) if c.assign and column in c.assign
+        )
+        return f"case _clause {cases} else t.`{column}` end" if cases else f"t.`{column}`"
+
+    def _inserted(self, column: str) -> str:
+        values = self.not_matched.values if self.not_matched else {}
+        return f"cast({values.get(column, 'null')} as {self._types[column]})"
 
-    def _insert_when(self) -> Column:
-        return _holds(self.not_matched.when) if self.not_matched else F.lit(False)
+    def _insert_when(self) -> str:
+        return f"coalesce(({self.not_matched.when}), false)" if self.not_matched else "false"
+
+    def _on(self) -> Column:
+        return F.expr(" and ".join(f"s.`{k}` = t.`{k}`" for k in self.on))
 
     # -- source preparation ------------------------------------------------
 
     @cached_property
     def _acting(self) -> DataFrame:
         """Non-unique path: per key the one clause that acts, with its source row."""
-        rows = self.source.alias("s").select("s.*", self._clause().alias("_clause"))
-        row = F.struct(*[F.col(c) for c in self.source.columns])
-        updates, deletes = self._is_update(F.col("_clause")), self._is_delete(F.col("_clause"))
-        keys = [F.col(k) for k in self.on]
+        present = " and ".join(f"`{k}` is not null" for k in self.on)
+        row = ", ".join(f"`{c}`" for c in self.source.columns)
         reduced = (
-            rows.where(F.col("_clause").isNotNull() & reduce(lambda a, b: a & b, [k.isNotNull() for k in keys]))
+            self.source.alias("s").selectExpr("s.*", f"{self._clause()} as _clause")
+            .where(f"_clause is not null and {present}")
             .groupBy(*self.on)
             .agg(
-                F.count_if(updates).alias("_n_update"),
-                F.count_if(deletes).alias("_n_delete"),
+                F.expr(f"count_if({self._is(delete=False)})").alias("_n_update"),
+                F.expr(f"count_if({self._is(delete=True)})").alias("_n_delete"),
                 F.min("_clause").alias("_clause"),
-                F.max(row).alias("_row"),
+                F.expr(f"max(struct({row}))").alias("_row"),
             )
         )
-        rest = [F.col(f"_row.{c}").alias(c) for c in self.source.columns if c not in self.on]
-        clash = (F.col("_n_update") > 1) | ((F.col("_n_update") > 0) & (F.col("_n_delete") > 0))
-        return reduced.select(*self.on, *rest, "_clause", clash.alias("_clash"))
+        rest = [f"_row.`{c}` as `{c}`" for c in self.source.columns if c not in self.on]
+        clash = "_n_update > 1 or (_n_update > 0 and _n_delete > 0)"
+        return reduced.selectExpr(*self.on, *rest, "_clause as _reduced", f"{clash} as _clash")
 
-    def _checked(self, clause: Column) -> Column:
-        message = F.lit(f"several source rows change one target row on {', '.join(self.on)}")
-        return F.when(F.col("s._clash"), F.raise_error(message).cast("int")).otherwise(clause)
+    def _checked(self) -> str:
+        message = f"several source rows change one target row on {', '.join(self.on)}"
+        return f"if(s._clash, cast(raise_error('{message}') as int), s._reduced)"
 
     @cached_property
     def _inserting(self) -> DataFrame:
@@ -148,65 +139,52 @@ class Merge:
         hit = self.target.alias("t").join(keys.alias("s"), self._on(), "left_semi").withColumn("_hit", F.lit(True))
         if self.source_is_unique:
             pairs = self.source.alias("s").join(hit.alias("t"), self._on(), "left")
-            clause = F.when(F.col("t._hit"), self._clause())
-            pairs = pairs.withColumn("_clause", clause)
-            inserts = F.col("t._hit").isNull() & self._insert_when()
-            return self._images(pairs, inserts)
+            pairs = pairs.withColumn("_clause", F.expr(f"if(t._hit, {self._clause()}, null)"))
+            return self._images(pairs, f"t._hit is null and {self._insert_when()}")
         acting = self._acting.alias("s").join(hit.alias("t"), self._on())
-        acting = acting.withColumn("_clause", self._checked(F.col("s._clause")))
-        fresh = self._inserting.select(
-            *[self._inserted(c).alias(c) for c in self.columns],
-            F.lit("INSERT").alias(ACTION),
-            F.lit(False).alias(IS_UPDATE),
+        acting = acting.withColumn("_clause", F.expr(self._checked()))
+        fresh = self._inserting.selectExpr(
+            *[f"{self._inserted(c)} as `{c}`" for c in self.columns],
+            f"'INSERT' as {ACTION}", f"false as {IS_UPDATE}",
         )
-        return self._images(acting, F.lit(False)).unionByName(fresh)
-
-    def _images(self, pairs: DataFrame, inserts: Column) -> DataFrame:
-        def image(value, action: str, is_update: bool) -> Column:
-            return F.struct(
-                *[value(c).alias(c) for c in self.columns],
-                F.lit(action).alias(ACTION),
-                F.lit(is_update).alias(IS_UPDATE),
-            )
-
-        def old(c):
-            return F.col(f"t.{c}")
-
-        rows = (
-            F.when(self._is_update(F.col("_clause")),
-                   F.array(image(old, "DELETE", True), image(self._updated, "INSERT", True)))
-            .when(self._is_delete(F.col("_clause")), F.array(image(old, "DELETE", False)))
+        return self._images(acting, "false").unionByName(fresh)
+
+    def _images(self, pairs: DataFrame, inserts: str) -> DataFrame:
+        def image(value, action: str, is_update: str) -> str:
+            cells = ", ".join(f"{value(c)} as `{c}`" for c in self.columns)
+            return f"struct({cells}, '{action}' as {ACTION}, {is_update} as {IS_UPDATE})"
+
+        def old(column: str) -> str:
+            return f"t.`{column}`"
+
+        return pairs.selectExpr(
+            "inline(case"
+            f" when {self._is(delete=False)} then"
+            f" array({image(old, 'DELETE', 'true')}, {image(self._updated, 'INSERT', 'true')})"
+            f" when {self._is(delete=True)} then array({image(old, 'DELETE', 'false')})"
+            f" when {inserts} then array({image(self._inserted, 'INSERT', 'false')})"
+            " end)"
         )
-        if self.not_matched:
-            rows = rows.when(inserts, F.array(image(self._inserted, "INSERT", False)))
-        return pairs.select(F.inline(rows))
 
     def result(self) -> DataFrame:
         """The whole new target: one full outer join for a unique source."""
         target = self.target.withColumn("_hit", F.lit(True)).alias("t")
         if self.source_is_unique:
             source = self.source.withColumn("_new", F.lit(True)).alias("s")
-            both = target.join(source, self._on(), "full_outer").withColumn(
-                "_clause", F.when(F.col("t._hit") & F.col("s._new"), self._clause())
+            both = target.join(source, self._on(), "full_outer")
+            both = both.withColumn("_clause", F.expr(f"if(t._hit and s._new, {self._clause()}, null)"))
+            both = both.where(
+                f"(coalesce(t._hit, false) and not {self._is(delete=True)})"
+                f" or (t._hit is null and {self._insert_when()})"
             )
-            kept = F.col("t._hit") & ~self._is_delete(F.col("_clause"))
-            fresh = F.col("t._hit").isNull() & self._insert_when()
-            values = [
-                F.when(F.col("t._hit").isNull(), self._inserted(c))
-                .when(self._is_update(F.col("_clause")), self._updated(c))
-                .otherwise(F.col(f"t.{c}"))
-                .alias(c)
-                for c in self.columns
-            ]
-            return both.where(F.coalesce(kept, F.lit(False)) | fresh).select(*values)
-        both = target.join(self._acting.alias("s"), self._on(), "left").withColumn(
-            "_clause", self._checked(F.col("s._clause"))
-        )
-        kept = both.where(~self._is_delete(F.col("_clause"))).select(
-            *[F.when(self._is_update(F.col("_clause")), self._updated(c)).otherwise(F.col(f"t.{c}")).alias(c)
-              for c in self.columns]
+            return both.selectExpr(*[
+                f"if(t._hit, {self._updated(c)}, {self._inserted(c)}) as `{c}`" for c in self.columns
+            ])
+        both = target.join(self._acting.alias("s"), self._on(), "left").withColumn("_clause", F.expr(self._checked()))
+        kept = both.where(f"not {self._is(delete=True)}").selectExpr(
+            *[f"{self._updated(c)} as `{c}`" for c in self.columns]
         )
-        return kept.unionByName(self._inserting.select(*[self._inserted(c).alias(c) for c in self.columns]))
+        return kept.unionByName(self._inserting.selectExpr(*[f"{self._inserted(c)} as `{c}`" for c in self.columns]))
 
     def metrics(self) -> DataFrame:
         """One row: rows inserted, updated, deleted."""
@@ -214,11 +192,10 @@ class Merge:
 
 
 def change_counters() -> list[Column]:
-    first = F.col(ACTION) == "INSERT"
     return [
-        F.count_if(first & ~F.col(IS_UPDATE)).alias("inserted"),
-        F.count_if(first & F.col(IS_UPDATE)).alias("updated"),
-        F.count_if(~first & ~F.col(IS_UPDATE)).alias("deleted"),
+        F.expr(f"count_if({ACTION} = 'INSERT' and not {IS_UPDATE})").alias("inserted"),
+        F.expr(f"count_if({ACTION} = 'INSERT' and {IS_UPDATE})").alias("updated"),
+        F.expr(f"count_if({ACTION} = 'DELETE' and not {IS_UPDATE})").alias("deleted"),
     ]
 
 
@@ -228,5 +205,5 @@ def count_changes(changes: DataFrame) -> DataFrame:
 
 def rows_affected(metrics: DataFrame) -> DataFrame:
     """Sum of the three counters, each NULL counted as 0."""
-    parts = [F.coalesce(F.col(c), F.lit(0)) for c in ("inserted", "updated", "deleted")]
-    return metrics.withColumn("rows_affected", parts[0] + parts[1] + parts[2])
+    parts = [f"coalesce({c}, 0)" for c in ("inserted", "updated", "deleted")]
+    return metrics.withColumn("rows_affected", F.expr(" + ".join(parts)))

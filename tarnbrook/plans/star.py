@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnbrook.functions.dates import date_parts
@@ -17,7 +17,10 @@ from tarnbrook.schemas import (
     DIM_AIRPORT, DIM_DATE, DIM_FLIGHT, DIM_PASSENGER, DIMENSIONS, FACT, TableSpec,
 )
 
-S_ACTION = F.col("s._action")
+DELETED, ADDED = "s._action = 'DELETE'", "s._action = 'INSERT'"
+FLAGGED_UPDATE = f"{ADDED} and s._is_update"
+# Never true: change rows carry INSERT and DELETE only.
+NAMED_UPDATE = "s._action = 'UPDATE'"
 
 
 @dataclass(frozen=True)
@@ -25,52 +28,59 @@ class DimensionPlan:
     """How one dimension is read out of core rows."""
 
     spec: TableSpec
-    columns: dict[str, Column]
+    columns: dict[str, str]
     newest_first: bool
+    # SQL on core columns for "the dimension column has a value", where the names differ.
+    present: dict[str, str] = field(default_factory=dict)
 
     def project(self, rows: DataFrame, *keep: str) -> DataFrame:
-        return rows.select(*[c if c in rows.columns else e.alias(c) for c, e in self.columns.items()], *keep)
+        return rows.selectExpr(*[c if c == e else f"{e} as `{c}`" for c, e in self.columns.items()], *keep)
 
-    def latest(self, rows: DataFrame, tie_break: list[Column]) -> DataFrame:
+    def latest(self, rows: DataFrame, tie_break: list[str]) -> DataFrame:
         """One row per natural key by departure date; ``tie_break`` makes the order total."""
-        day = F.col("departure_date")
         keep = [c for c in rows.columns if c not in self.columns]
-        order = [day.desc() if self.newest_first else day.asc(), *tie_break]
+        order = ["departure_date desc" if self.newest_first else "departure_date asc", *tie_break]
         return latest_per_key(self.project(rows, *keep), list(self.spec.key), order)
 
 
-def flight_key() -> Column:
-    return flight_id(F.col("pilot_name"), F.col("flight_status"), F.col("departure_date"), F.col("arrival_airport"))
+FLIGHT_KEY = flight_id("pilot_name", "flight_status", "departure_date", "arrival_airport")
 
 
 PASSENGER_PLAN = DimensionPlan(
     DIM_PASSENGER,
-    {c: F.col(c) for c in ("passenger_id", "first_name", "last_name", "gender", "age", "nationality")},
+    {c: c for c in ("passenger_id", "first_name", "last_name", "gender", "age", "nationality")},
     newest_first=True,
 )
+_AIRPORT_COLUMNS = {
+    "airport_code": "arrival_airport",
+    "airport_name": "airport_name",
+    "country_code": "airport_country_code",
+    "country_name": "country_name",
+    "continent_code": "airport_continent",
+    "continent_name": "continents",
+}
 AIRPORT_PLAN = DimensionPlan(
     DIM_AIRPORT,
-    {
-        "airport_code": F.col("arrival_airport"),
-        "airport_name": F.col("airport_name"),
-        "country_code": F.col("airport_country_code"),
-        "country_name": F.col("country_name"),
-        "continent_code": F.col("airport_continent"),
-        "continent_name": F.col("continents"),
-    },
+    _AIRPORT_COLUMNS,
     newest_first=True,
+    present={name: f"{source} is not null" for name, source in _AIRPORT_COLUMNS.items()},
 )
 FLIGHT_PLAN = DimensionPlan(
     DIM_FLIGHT,
-    {"flight_id": flight_key(), "pilot_name": F.col("pilot_name"), "flight_status": F.col("flight_status")},
+    {"flight_id": FLIGHT_KEY, "pilot_name": "pilot_name", "flight_status": "flight_status"},
     newest_first=False,
+    present={"flight_id": "pilot_name is not null and flight_status is not null "
+                          "and departure_date is not null and arrival_airport is not null"},
 )
 DATE_PLAN = DimensionPlan(
-    DIM_DATE, {"date": F.col("departure_date"), **date_parts(F.col("departure_date"))}, newest_first=True
+    DIM_DATE,
+    {"date": "departure_date", **date_parts("departure_date")},
+    newest_first=True,
+    present={c: "departure_date is not null" for c in ("date", "day_of_week", "month", "year", "quarter")},
 )
 DIMENSION_PLANS = {p.spec.name: p for p in (PASSENGER_PLAN, AIRPORT_PLAN, FLIGHT_PLAN, DATE_PLAN)}
 
-INDEX_ORDER = [F.col("index_col").desc()]
+INDEX_ORDER = ["index_col desc"]
 
 
 # -- merges ------------------------------------------------------------------
@@ -81,8 +91,8 @@ def literal_dimension_merge(target: DataFrame, source: DataFrame, spec: TableSpe
     change rows never carry, so this inserts and deletes only."""
     return Merge(
         target, source, list(spec.key),
-        matched=[Matched(S_ACTION == "DELETE"), Matched(S_ACTION == "UPDATE", from_source(spec.attributes))],
-        not_matched=NotMatched(from_source([*spec.key, *spec.attributes]), S_ACTION == "INSERT"),
+        matched=[Matched(DELETED), Matched(NAMED_UPDATE, from_source(spec.attributes))],
+        not_matched=NotMatched(from_source([*spec.key, *spec.attributes]), ADDED),
         source_is_unique=True,
     )
 
@@ -90,13 +100,11 @@ def literal_dimension_merge(target: DataFrame, source: DataFrame, spec: TableSpe
 def scd1_merge(target: DataFrame, source: DataFrame, spec: TableSpec, skip_equal: bool = True) -> Merge:
     """The intent: the newest row of a key overwrites. Rows that would not change are left alone."""
     attributes = spec.attributes
-    update = S_ACTION == "INSERT"
-    if skip_equal:
-        update = update & any_difference(attributes)
+    update = f"{ADDED} and {any_difference(attributes)}" if skip_equal else ADDED
     return Merge(
         target, source, list(spec.key),
-        matched=[Matched(S_ACTION == "DELETE"), Matched(update, from_source(attributes))],
-        not_matched=NotMatched(from_source([*spec.key, *attributes]), S_ACTION == "INSERT"),
+        matched=[Matched(DELETED), Matched(update, from_source(attributes))],
+        not_matched=NotMatched(from_source([*spec.key, *attributes]), ADDED),
         source_is_unique=True,
     )
 
@@ -109,8 +117,8 @@ def core_merge(target: DataFrame, source: DataFrame, spec: TableSpec, fixed: tup
     return Merge(
         target, source, list(spec.key),
         matched=[
-            Matched(S_ACTION == "DELETE"),
-            Matched((S_ACTION == "INSERT") & F.col("s._is_update"), from_source(assigned)),
+            Matched(DELETED),
+            Matched(FLAGGED_UPDATE, from_source(assigned)),
         ],
         not_matched=NotMatched(from_source(list(spec.columns))),
     )
@@ -122,10 +130,10 @@ def checked_core_merge(target: DataFrame, source: DataFrame, spec: TableSpec) ->
     return Merge(
         target, source, list(spec.key),
         matched=[
-            Matched(S_ACTION == "DELETE"),
-            Matched((S_ACTION == "INSERT") & F.col("s._is_update"), from_source(spec.attributes)),
+            Matched(DELETED),
+            Matched(FLAGGED_UPDATE, from_source(spec.attributes)),
         ],
-        not_matched=NotMatched(from_source(list(spec.columns)), S_ACTION == "INSERT"),
+        not_matched=NotMatched(from_source(list(spec.columns)), ADDED),
         source_is_unique=True,
     )
 
@@ -135,8 +143,8 @@ def literal_fact_merge(target: DataFrame, source: DataFrame) -> Merge:
     only ever added, repeated ids of one batch included."""
     return Merge(
         target, source, list(FACT.key),
-        matched=[Matched(S_ACTION == "DELETE"), Matched(S_ACTION == "UPDATE", from_source(FACT.attributes))],
-        not_matched=NotMatched(from_source(list(FACT.columns)), S_ACTION == "INSERT"),
+        matched=[Matched(DELETED), Matched(NAMED_UPDATE, from_source(FACT.attributes))],
+        not_matched=NotMatched(from_source(list(FACT.columns)), ADDED),
     )
 
 
@@ -150,15 +158,16 @@ LOOKUPS = {
 }
 
 
-def fact_rows(rows: DataFrame, dims: dict[str, DataFrame], hot: dict[str, HotKeys] | None = None) -> DataFrame:
-    """Fact rows by four left lookups of surrogate keys; each dimension must be unique on its key.
+def fact_rows(
+    rows: DataFrame, dims: dict[str, DataFrame], hot: dict[str, HotKeys] | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Fact rows (and the ``keep`` columns) by four left lookups of surrogate keys; each dimension must be unique on its key.
 
     The flight key is derived once. The small dimensions come first: Catalyst
     broadcasts them by size, so only flight and passenger shuffle, and those
     carry just the columns a fact needs.
     """
-    keep = [c for c in rows.columns if c.startswith("_")]
-    facts = rows.withColumn("flight_id", flight_key()).select(
+    facts = rows.withColumn("flight_id", F.expr(FLIGHT_KEY)).select(
         "passenger_id", "flight_id", "arrival_airport", "departure_date", "passenger_status", "ticket_type", *keep
     )
     if hot is None:
@@ -167,20 +176,20 @@ def fact_rows(rows: DataFrame, dims: dict[str, DataFrame], hot: dict[str, HotKey
     for column, (spec, key) in LOOKUPS.items():
         dim = dims[spec.name].select(F.col(key).alias(column), spec.surrogate)
         facts = lookup(facts, dim, column, hot[column], [c for c in spread_by if c != column])
-    facts = facts.withColumn("id", fact_id(F.col("passenger_id"), F.col("flight_sk"), F.col("departure_date")))
+    facts = facts.withColumn("id", F.expr(fact_id("passenger_id", "flight_sk", "departure_date")))
     return facts.select(*FACT.columns, *keep)
 
 
 # -- whole star from core rows -------------------------------------------------
 
 
-def build_dimension(core: DataFrame, plan: DimensionPlan, tie_break: list[Column]) -> DataFrame:
+def build_dimension(core: DataFrame, plan: DimensionPlan, tie_break: list[str]) -> DataFrame:
     spec = plan.spec
     latest = plan.latest(core, tie_break).select(*spec.key, *spec.attributes)
     return assign_surrogate_keys(latest, list(spec.key), spec.surrogate)
 
 
-def build_star(core: DataFrame, tie_break: list[Column]) -> dict[str, DataFrame]:
+def build_star(core: DataFrame, tie_break: list[str]) -> dict[str, DataFrame]:
     """Initial load without tables: four dimensions and the fact, by table name."""
     star = {s.name: build_dimension(core, DIMENSION_PLANS[s.name], tie_break) for s in DIMENSIONS}
     star[FACT.name] = fact_rows(core, star)

@@ -50,18 +50,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     This cuts the lineage: lost executors cost a re-read and never a
     recomputation, so sampled range bounds or generated ids cannot change
-    between two uses. Readers of the result still prune columns.
+    between two uses. Readers of the result still prune columns. ``spark`` reads
+    it back in another session than that of ``df`` (a micro-batch has its own).
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     if getattr(_scope, "paths", None) is not None:
         _scope.paths.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
 
 
 @contextmanager
@@ -72,6 +83,6 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scope.paths:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            files, target = _file_system(spark, path)
+            files.delete(target, True)
         _scope.paths = outer

@@ -25,6 +25,7 @@ from tarnbrook.functions.keys import row_id
 from tarnbrook.operators.changes import collapse
 from tarnbrook.operators.merge import ACTION, IS_UPDATE, change_counters
 from tarnbrook.schemas import TableSpec
+from tarnbrook.session import path_exists
 
 # Up to this many removed keys are broadcast when a state is read; the commit
 # records hold the exact count.
@@ -78,12 +79,8 @@ class LogTable:
 
     def refresh(self) -> None:
         """Load the commit rows: metadata, one small row per statement."""
-        try:
-            rows = self.commits().orderBy("version").collect()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            rows = []
+        known = path_exists(self.spark, f"{self.path}/commits")
+        rows = self.commits().orderBy("version").collect() if known else []
         self._commits = [Commit(**{**r.asDict(), "commit_ts": r["commit_ts"].astimezone(timezone.utc)}) for r in rows]
 
     def commits(self) -> DataFrame:
@@ -267,8 +264,8 @@ class LogTable:
         columns = [*self.spec.columns, *self.extra]
         if len(commits) > 1 and any(c.deleted or c.updated for c in commits):
             return collapse(log, self.keys, columns).select(*columns, ACTION, IS_UPDATE, "_row_id")
-        identity = [F.col(k) for k in self.keys] or [F.col("_version"), *[F.col(c) for c in columns]]
-        return log.select(*columns, ACTION, IS_UPDATE, row_id(identity).alias("_row_id"))
+        identity = self.keys or ["_version", *columns]
+        return log.select(*columns, ACTION, IS_UPDATE, F.expr(row_id(identity)).alias("_row_id"))
 
     def change_counts(self, after: int, upto: int | None = None) -> Commit:
         """Counters over an interval, from the commit rows alone."""
@@ -298,12 +295,8 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        try:
-            rows = self.registry().orderBy("event_no").collect()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            rows = []
+        known = path_exists(spark, f"{self.root}/registry")
+        rows = self.registry().orderBy("event_no").collect() if known else []
         self._events = [(r["table"], r["location"], r["event"]) for r in rows]
 
     def registry(self) -> DataFrame:
