@@ -1,0 +1,242 @@
+"""Files to star schema: golden run, change batches, deliberate errors, batch against stream."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarnbrook.plans.warehouse import Warehouse
+from tarnbrook.schemas import (
+    AUDIT, CORE, DIM_AIRPORT, DIM_DATE, DIM_FLIGHT, DIM_PASSENGER, DIMENSIONS, FACT, LOAD_HISTORY,
+    MART_QUARANTINE, QUARANTINE, RAW, RAW_COLUMNS,
+)
+from tarnbrook.streaming.incremental import load_stream
+
+HEADER = ",Passenger ID,First Name,Last Name,Gender,Age,Nationality,Airport Name,Airport Country Code,Country Name," \
+         "Airport Continent,Continents,Departure Date,Arrival Airport,Pilot Name,Flight Status,Ticket Type,Passenger Status"
+AIRPORTS = [
+    ("Fjord Field", "NO", "Norway", "EU", "Europe", "FJO"),
+    ("Lagoon Strip", "BR", "Brazil", "SAM", "South America", "LGN"),
+    ("Prairie Port", "US", "United States", "NAM", "North America", "PRP"),
+    ("Vallée Nord", "FR", "France", "EU", "Europe", "VAN"),
+]
+
+
+def line(index, **changes):
+    airport = AIRPORTS[index % 4]
+    cells = dict(
+        index_col=index, passenger_id=f"P{index:05d}", first_name=f"First{index}", last_name=f"Last{index}",
+        gender="Female" if index % 2 else "Male", age=20 + index, nationality="Peru", airport_name=airport[0],
+        airport_country_code=airport[1], country_name=airport[2], airport_continent=airport[3], continents=airport[4],
+        departure_date=f"{1 + index % 12}/{1 + index}/2022", arrival_airport=airport[5], pilot_name=f"Pilot {index}",
+        flight_status="On Time", ticket_type="Business", passenger_status="On Time",
+    )
+    cells.update(changes)
+    return ",".join("" if cells[c] is None else str(cells[c]) for c in RAW_COLUMNS)
+
+
+def put(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join([HEADER, *lines]), encoding="utf-8")
+
+
+def counts(warehouse):
+    return {s.name.split(".")[1]: warehouse[s].read().count() for s in (CORE, *DIMENSIONS, FACT)}
+
+
+def change_rows(spark, *changes):
+    """Change batch with text columns from (action, is_update, line)."""
+    data = [(*[c or None for c in text.split(",")], action, flag) for action, flag, text in changes]
+    return spark.createDataFrame(data, RAW.schema.add("_action", "string").add("_is_update", "boolean"))
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("wh")
+    put(root / "in", "initial.csv", [line(n) for n in range(11)])
+    warehouse = Warehouse(spark, str(root / "db"))
+    warehouse.load_files(str(root / "in"))
+    warehouse.advance()
+    return warehouse, root
+
+
+def test_initial_load(spark, loaded, rows):
+    warehouse, root = loaded
+    assert rows(warehouse[LOAD_HISTORY].read(), "copy_id", "file_name", "status", "rows_parsed", "rows_loaded", "error_rows") == [
+        (1, "initial.csv", "Loaded", 11, 11, 0)
+    ]
+    assert warehouse.recent_loads().count() == 1
+    assert counts(warehouse) == {
+        "passengers_cleaned": 11, "dim_passenger": 11, "dim_airport": 4, "dim_flight": 11, "dim_date": 11,
+        "fact_passenger_flight": 11,
+    }
+    first = warehouse[CORE].read().where("index_col = 0").first()
+    assert (first["age"], first["departure_date"]) == (20, date(2022, 1, 1))
+    fact = warehouse[FACT].read()
+    assert fact.where("passenger_sk is null or flight_sk is null or airport_sk is null or date_sk is null").isEmpty()
+    assert fact.select("id").distinct().count() == 11
+    audit = warehouse[AUDIT].read()
+    assert sorted(r[0] for r in audit.where("task_id not like '%airport'").select("rows_affected").collect()) == [11] * 5
+    assert audit.where("task_id = 'load_dim_airport'").first()["rows_affected"] == 4
+    assert warehouse.secure_view().count() == 5  # rows 0, 4, 8 and 3, 7 land in Europe
+    keys = rows(warehouse[DIM_PASSENGER].read(), "passenger_sk", "passenger_id")
+    assert keys == sorted([(n + 1, f"P{n:05d}") for n in range(11)], key=str)
+
+
+def test_the_same_name_loads_once(spark, loaded):
+    warehouse, root = loaded
+    put(root / "in", "initial.csv", [line(50)])
+    before = counts(warehouse)
+    assert warehouse.load_files(str(root / "in")) is None
+    warehouse.advance()
+    again = Warehouse(spark, warehouse.catalog.root)
+    again.advance()
+    assert counts(again) == before and again[AUDIT].read().count() == 6
+
+
+def test_errors_and_duplicates(spark, tmp_path, rows):
+    put(tmp_path / "in", "mixed.csv", [
+        line(0), line(1), line(1, first_name="Repeat"),
+        line(2) + ",extra", line(3).rsplit(",", 1)[0],
+        line(4, gender="NULL"), line(5, nationality='""'), line(6, first_name='"a, ""b"""'),
+        line(7, age="x"), line(8, departure_date="31/31/2022"), line(9, departure_date="2022-06-28"),
+        line(10, passenger_id="P000010"), line(11, gender="Undisclosed-xyz"), line(12, pilot_name=None),
+        line(13, passenger_id="P00000", departure_date="1/1/2022", arrival_airport="FJO", airport_name="Fjord Field",
+             pilot_name=" PILOT 0 ", airport_country_code="NO", country_name="Norway", airport_continent="EU",
+             continents="Europe"),
+        line(14, passenger_id="P00099", departure_date="1/1/2022", arrival_airport="FJO", airport_name="Fjord Field",
+             pilot_name="Pilot 0", airport_country_code="NO", country_name="Norway", airport_continent="EU",
+             continents="Europe"),
+    ])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    history = warehouse[LOAD_HISTORY].read().first()
+    assert (history["rows_parsed"], history["rows_loaded"], history["error_rows"]) == (16, 14, 2)
+    assert history["first_error_line_number"] == 5
+    assert history["first_error_message"] == "row has 19 cells, table has 18 columns"
+    assert rows(warehouse[QUARANTINE].read(), "index_col", "violations") == sorted([
+        ("1", ["index_col:repeated"]), ("7", ["age:type"]),
+        ("8", ["departure_date:type", "departure_date:not_null"]),
+        ("9", ["departure_date:type", "departure_date:not_null"]),
+        ("10", ["passenger_id:width"]), ("11", ["gender:width"]),
+    ], key=str)
+    core = warehouse[CORE].read()
+    assert rows(core, "index_col") == sorted([(n,) for n in (0, 1, 4, 5, 6, 12, 13, 14)], key=str)
+    assert core.where("index_col = 1").first()["first_name"] == "First1"
+    assert core.where("index_col = 6").first()["first_name"] == 'a, "b"'
+    assert rows(warehouse[MART_QUARANTINE].read(), "index_col", "violations") == sorted([
+        (4, ["dim_passenger.gender:not_null"]), (5, ["dim_passenger.nationality:not_null"]),
+        (12, ["dim_flight.flight_id:not_null", "dim_flight.pilot_name:not_null"]),
+    ], key=str)
+    # 0, 13 and 14 share a flight; 0 and 13 share passenger, flight and day, and so one fact.
+    flights = warehouse[DIM_FLIGHT].read()
+    assert flights.count() == 5
+    assert warehouse[DIM_PASSENGER].read().where("passenger_id = 'P00000'").first()["first_name"] == "First13"
+    facts = warehouse[FACT].read()
+    assert facts.count() == 6
+    assert facts.where("passenger_sk is null").count() == 2  # 4 and 5 have no passenger member
+    shared = facts.groupBy("flight_sk").count().orderBy(F.desc("count")).first()
+    assert shared["count"] == 2
+
+
+def test_change_batches(spark, loaded, rows):
+    warehouse, _ = loaded
+    start = counts(warehouse)
+    warehouse.apply_changes(change_rows(
+        spark,
+        ("INSERT", False, line(20)),
+        ("DELETE", True, line(1)), ("INSERT", True, line(1, first_name="Renamed", passenger_status="Late")),
+        ("INSERT", False, line(2, first_name="Ignored")),
+        ("DELETE", False, line(99)),
+    ))
+    after = counts(warehouse)
+    assert after == {k: n + (k != "dim_airport") for k, n in start.items()}
+    names = dict(rows(warehouse[DIM_PASSENGER].read(), "passenger_id", "first_name"))
+    assert names["P00001"] == "Renamed" and names["P00002"] == "First2"
+    assert warehouse[FACT].read().where("passenger_status = 'Late'").count() == 1
+    keys = dict(rows(warehouse[DIM_PASSENGER].read(), "passenger_id", "passenger_sk"))
+    assert keys["P00001"] == 2 and keys["P00020"] == 12
+
+    # A delete takes what no other core row uses: its passenger, flight, day and fact, not its airport.
+    warehouse.apply_changes(change_rows(spark, ("DELETE", False, line(20)), ("DELETE", False, line(3))))
+    assert counts(warehouse) == {k: n - (k != "dim_airport") for k, n in start.items()}
+    warehouse.apply_changes(change_rows(spark, ("INSERT", False, line(20))))
+    keys = dict(rows(warehouse[DIM_PASSENGER].read(), "passenger_id", "passenger_sk"))
+    assert keys["P00020"] == 13  # surrogate keys are never given twice
+    orphans = warehouse[FACT].read().join(warehouse[DIM_DATE].read(), "date_sk", "left_anti")
+    assert orphans.isEmpty()
+
+    # The same state is reached through the whole change log and one version at a time.
+    core = warehouse[CORE]
+    assert core.version == 4
+    assert rows(core.read(1), "index_col") == sorted([(n,) for n in range(11)], key=str)
+
+
+def test_a_failed_step_is_audited_and_resumed(spark, tmp_path, rows):
+    put(tmp_path / "in", "one.csv", [line(n) for n in range(3)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    original = Warehouse.load_dimension
+
+    def broken(self, plan):
+        if plan.spec is DIM_AIRPORT:
+            raise RuntimeError("no airport today")
+        return original(self, plan)
+
+    Warehouse.load_dimension = broken
+    try:
+        with pytest.raises(RuntimeError):
+            warehouse.advance()
+    finally:
+        Warehouse.load_dimension = original
+    failed = warehouse[AUDIT].read().where("error_message is not null").collect()
+    assert [(r["task_id"], r["error_message"]) for r in failed] == [("load_dim_airport", "no airport today")]
+    assert warehouse[FACT].read().count() == 0
+    resumed = Warehouse(spark, str(tmp_path / "db"))
+    resumed.advance()
+    assert counts(resumed)["fact_passenger_flight"] == 3 and counts(resumed)["dim_airport"] == 3
+    assert counts(resumed)["dim_passenger"] == 3
+
+
+def test_literal_mode(spark, tmp_path, rows):
+    put(tmp_path / "in", "one.csv", [line(0), line(1), line(1, first_name="Twice")])
+    warehouse = Warehouse(spark, str(tmp_path / "db"), literal=True)
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    assert counts(warehouse)["passengers_cleaned"] == 3  # repeated keys of one batch are all inserted
+    assert counts(warehouse)["fact_passenger_flight"] == 3
+    assert counts(warehouse)["dim_passenger"] == 2
+    put(tmp_path / "in", "two.csv", [line(2, gender=None)])
+    warehouse.load_files(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="NOT NULL"):
+        warehouse.advance()
+
+
+def test_stream_equals_batch(spark, tmp_path, rows):
+    first, second = [line(n) for n in range(5)], [line(n, pilot_name="Ann") for n in range(3, 9)]
+    batch = Warehouse(spark, str(tmp_path / "batch"))
+    put(tmp_path / "files", "a.csv", first)
+    batch.load_files(str(tmp_path / "files"))
+    batch.advance()
+    put(tmp_path / "files", "b.csv", second)
+    batch.load_files(str(tmp_path / "files"))
+    batch.advance()
+
+    inbox, offsets = tmp_path / "inbox", str(tmp_path / "offsets")
+    stream = Warehouse(spark, str(tmp_path / "stream"))
+    put(inbox, "a.csv", first)
+    assert load_stream(stream, str(inbox), offsets) == 1
+    put(inbox, "b.csv", second)
+    assert load_stream(stream, str(inbox), offsets) == 1
+    assert load_stream(stream, str(inbox), offsets) == 0
+    for spec in (CORE, *DIMENSIONS, FACT):
+        assert rows(stream[spec].read()) == rows(batch[spec].read()), spec.name
+    assert rows(stream[LOAD_HISTORY].read(), "copy_id", "file_name", "rows_loaded") == [(1, "a.csv", 5), (2, "b.csv", 6)]
+
+    # A batch that comes again with the same number changes nothing.
+    replayed = stream.ingest(spark.createDataFrame([], RAW.schema), batch_id="passengers-1")
+    assert replayed.batch_id == "passengers-1"
+    versions = {s.name: stream[s].version for s in (RAW, CORE, *DIMENSIONS, FACT)}
+    stream.advance()
+    assert versions == {s.name: stream[s].version for s in (RAW, CORE, *DIMENSIONS, FACT)}
