@@ -150,20 +150,25 @@ class Merge:
         return self._images(acting, "false").unionByName(fresh)
 
     def _images(self, pairs: DataFrame, inserts: str) -> DataFrame:
-        def image(value, action: str, is_update: str) -> str:
-            cells = ", ".join(f"{value(c)} as `{c}`" for c in self.columns)
-            return f"struct({cells}, '{action}' as {ACTION}, {is_update} as {IS_UPDATE})"
-
-        def old(column: str) -> str:
-            return f"t.`{column}`"
-
-        return pairs.selectExpr(
-            "inline(case"
-            f" when {self._is(delete=False)} then"
-            f" array({image(old, 'DELETE', 'true')}, {image(self._updated, 'INSERT', 'true')})"
-            f" when {self._is(delete=True)} then array({image(old, 'DELETE', 'false')})"
-            f" when {inserts} then array({image(self._inserted, 'INSERT', 'false')})"
-            " end)"
+        """Turn each acting pair into its one or two change rows.
+
+        A pair is multiplied by a short array of markers and each column then
+        picks its image; that keeps the generated code small for wide tables.
+        """
+        halves = (
+            f"case when {self._is(delete=False)} then array('old', 'new')"
+            f" when {self._is(delete=True)} then array('gone')"
+            f" when {inserts} then array('fresh') end"
+        )
+        images = pairs.withColumn("_half", F.explode(F.expr(halves)))
+        return images.selectExpr(
+            *[
+                f"case _half when 'fresh' then {self._inserted(c)} when 'new' then {self._updated(c)}"
+                f" else t.`{c}` end as `{c}`"
+                for c in self.columns
+            ],
+            f"if(_half in ('new', 'fresh'), 'INSERT', 'DELETE') as {ACTION}",
+            f"_half in ('old', 'new') as {IS_UPDATE}",
         )
 
     def result(self) -> DataFrame:

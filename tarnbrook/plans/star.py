@@ -33,14 +33,24 @@ class DimensionPlan:
     # SQL on core columns for "the dimension column has a value", where the names differ.
     present: dict[str, str] = field(default_factory=dict)
 
+    # Are all columns functions of the key? Then any row of a key will do.
+    derived: bool = False
+
     def project(self, rows: DataFrame, *keep: str) -> DataFrame:
         return rows.selectExpr(*[c if c == e else f"{e} as `{c}`" for c, e in self.columns.items()], *keep)
 
-    def latest(self, rows: DataFrame, tie_break: list[str]) -> DataFrame:
-        """One row per natural key by departure date; ``tie_break`` makes the order total."""
-        keep = [c for c in rows.columns if c not in self.columns]
+    def latest(self, rows: DataFrame, tie_break: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+        """Key, attributes and ``keep`` of one row per natural key by departure date.
+
+        ``tie_break`` makes the order total. A derived dimension needs no order:
+        its distinct rows come out of a hash aggregate.
+        """
+        columns = [*self.spec.key, *self.spec.attributes, *keep]
+        if self.derived and not keep:
+            return self.project(rows).select(*columns).distinct()
+        others = [c for c in rows.columns if c not in self.columns]
         order = ["departure_date desc" if self.newest_first else "departure_date asc", *tie_break]
-        return latest_per_key(self.project(rows, *keep), list(self.spec.key), order)
+        return latest_per_key(self.project(rows, *others), list(self.spec.key), order).select(*columns)
 
 
 FLIGHT_KEY = flight_id("pilot_name", "flight_status", "departure_date", "arrival_airport")
@@ -77,6 +87,7 @@ DATE_PLAN = DimensionPlan(
     {"date": "departure_date", **date_parts("departure_date")},
     newest_first=True,
     present={c: "departure_date is not null" for c in ("date", "day_of_week", "month", "year", "quarter")},
+    derived=True,
 )
 DIMENSION_PLANS = {p.spec.name: p for p in (PASSENGER_PLAN, AIRPORT_PLAN, FLIGHT_PLAN, DATE_PLAN)}
 
@@ -185,8 +196,7 @@ def fact_rows(
 
 def build_dimension(core: DataFrame, plan: DimensionPlan, tie_break: list[str]) -> DataFrame:
     spec = plan.spec
-    latest = plan.latest(core, tie_break).select(*spec.key, *spec.attributes)
-    return assign_surrogate_keys(latest, list(spec.key), spec.surrogate)
+    return assign_surrogate_keys(plan.latest(core, tie_break), list(spec.key), spec.surrogate)
 
 
 def build_star(core: DataFrame, tie_break: list[str]) -> dict[str, DataFrame]:

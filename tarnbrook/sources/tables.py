@@ -12,6 +12,7 @@ the batch. Versions are never rewritten, so every earlier state stays readable.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import asdict, dataclass, fields
 from datetime import datetime, timezone
@@ -68,6 +69,12 @@ _COMMIT_SCHEMA = T.StructType(
 )
 
 
+def _append_json(spark: SparkSession, rows: list[dict], folder: str) -> None:
+    """Add one file with a few JSON rows; it appears as a whole when its task commits."""
+    lines = "\n".join(json.dumps(r, default=lambda moment: moment.isoformat(timespec="milliseconds")) for r in rows)
+    spark.range(0, 1, 1, 1).select(F.lit(lines).alias("value")).write.mode("append").text(folder)
+
+
 class LogTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, extra: dict[str, T.DataType] | None = None):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
@@ -135,9 +142,7 @@ class LogTable:
             kind=kind,
             **{**carried, **values},
         )
-        row = tuple(asdict(commit)[f.name] for f in _COMMIT_SCHEMA.fields)
-        one = self.spark.createDataFrame([row], _COMMIT_SCHEMA).coalesce(1)
-        one.write.mode("append").json(f"{self.path}/commits")
+        _append_json(self.spark, [asdict(commit)], f"{self.path}/commits")
         self._commits.append(commit)
         return commit
 
@@ -304,9 +309,11 @@ class Catalog:
 
     def _record(self, entries: list[tuple[str, str, str]]) -> None:
         start, now = len(self._events), datetime.now(timezone.utc)
-        rows = [(t, l, e, start + n, now) for n, (t, l, e) in enumerate(entries)]
-        one = self.spark.createDataFrame(rows, _REGISTRY_SCHEMA).coalesce(1)
-        one.write.mode("append").json(f"{self.root}/registry")
+        rows = [
+            {"table": t, "location": l, "event": e, "event_no": start + n, "event_ts": now}
+            for n, (t, l, e) in enumerate(entries)
+        ]
+        _append_json(self.spark, rows, f"{self.root}/registry")
         self._events += entries
 
     def location(self, name: str) -> str | None:
