@@ -149,6 +149,13 @@ class Merge:
         )
         return self._images(acting, "false").unionByName(fresh)
 
+    def inserts(self) -> DataFrame:
+        """Change rows for an empty target: no join, the source rows the insert clause takes."""
+        return self.source.alias("s").where(self._insert_when()).selectExpr(
+            *[f"{self._inserted(c)} as `{c}`" for c in self.columns],
+            f"'INSERT' as {ACTION}", f"false as {IS_UPDATE}",
+        )
+
     def _images(self, pairs: DataFrame, inserts: str) -> DataFrame:
         """Turn each acting pair into its one or two change rows.
 

@@ -155,6 +155,11 @@ SELECT event_type, count(*) AS rows_parsed, count(*) FILTER (WHERE value <= 20)
        count(*) FILTER (WHERE value > 20) AS error_rows, CAST(0 AS BIGINT) AS files_without_line,
        CASE WHEN max(value) > 20 THEN 'row has 4 cells, table has 3 columns' END AS first_error_message
 FROM events GROUP BY event_type""",
+    "load_once": f"""
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type
+FROM events WHERE ts >= {_MIDDLE}""",
+    "staging_refill": f"""WITH {_EVENTS}
+SELECT event_id, user_id, event_type, amount FROM ev WHERE ts >= {_MIDDLE} OR event_type = 'error'""",
     "recent_load_window": """
 SELECT event_id, user_id, event_type FROM events
 WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
@@ -187,6 +192,11 @@ WHERE o_orderstatus = 'P' OR length(o_orderpriority) > 8 OR o_totalprice > 30000
     "dim_date": f"WITH {_PASSENGERS} {_DIM_DATE}",
     "surrogate_keys": """
 SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS customer_sk, c_custkey, c_name FROM customer""",
+    "hot_key_lookup": """
+SELECT o_orderkey, o_orderpriority, priority_sk FROM orders LEFT JOIN (
+  SELECT o_orderpriority, CAST(row_number() OVER (ORDER BY o_orderpriority) AS BIGINT) AS priority_sk
+  FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority <> '3-MEDIUM')
+) USING (o_orderpriority)""",
     "fact_build": f"{_STAR} SELECT * FROM fact",
     "mart_daily": f"""{_STAR}
 SELECT date, year, quarter, month, day_of_week, count(*) AS n_facts, count(DISTINCT passenger_sk) AS n_passengers

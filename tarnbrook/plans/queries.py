@@ -13,6 +13,7 @@ from tarnbrook.functions.text import null_tokens
 from tarnbrook.operators.audit import audit_rows
 from tarnbrook.operators.changes import as_of, change_pairs, has_changes, net_changes, net_changes_between
 from tarnbrook.operators.dedupe import latest_per_key
+from tarnbrook.operators.lookup import find_hot_keys, lookup
 from tarnbrook.operators.merge import Merge, rows_affected
 from tarnbrook.operators.policy import RowPolicy, flights_airports_secure
 from tarnbrook.operators.quality import VIOLATIONS, Rule, key_report, not_null, reference_report, tag_violations, width
@@ -25,9 +26,11 @@ from tarnbrook.plans.star import (
 )
 from tarnbrook.plans.trade_feed import csv_line, line_order, passenger_rows, read_table, tie_break
 from tarnbrook.plans.warehouse import Warehouse
-from tarnbrook.schemas import DATE, FACT, INT, LONG, RAW_COLUMNS, STRING, TableSpec
+from tarnbrook.schemas import FACT, LONG, RAW_COLUMNS, STRING, TableSpec
 from tarnbrook.session import materialize, scratch_path
-from tarnbrook.sources.csv_files import BAD, load_history, read_csv, recent_loads, write_lines
+from tarnbrook.sources.csv_files import (
+    BAD, list_files, load_history, not_loaded, read_csv, recent_loads, write_lines,
+)
 from tarnbrook.sources.tables import Catalog, LogTable, live_state, union_all
 from tarnbrook.streaming.incremental import load_stream, merge_stream
 
@@ -112,6 +115,29 @@ def load_history_by_type(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def load_once(spark: SparkSession, folder: str) -> DataFrame:
+    """A second look at a folder loads the files that came since the first; known names stay out."""
+    events = _events(spark, folder)
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"), F.col("event_type"))
+    inbox = scratch_path(spark, "inbox")
+    write_lines(events.where(F.col("ts") < moment(MIDDLE)), line, ",User,Type", inbox)
+    history = materialize(list_files(spark, inbox).select("file_name"), "history")
+    write_lines(events.where(F.col("ts") >= moment(MIDDLE)), line, ",User,Type", inbox)
+    paths = [r["file_path"] for r in not_loaded(list_files(spark, inbox), history).toLocalIterator()]  # names only
+    schema = TableSpec("events_text", {c: STRING for c in ("event_id", "user_id", "event_type")}).schema
+    return read_csv(spark, paths, schema).select(*schema.names)
+
+
+def staging_refill(spark: SparkSession, folder: str) -> DataFrame:
+    """A staging table filled with one state, then truncated and filled with the next from SELECT."""
+    events = _events(spark, folder)
+    staging = LogTable(spark, scratch_path(spark, "staging"), EVENTS)
+    staging.replace(events.where(F.col("ts") < moment(MIDDLE)))
+    staging.replace(events.where(F.col("ts") >= moment(MIDDLE)))
+    staging.append(events.where((F.col("ts") < moment(MIDDLE)) & gone()))
+    return staging.read()
+
+
 def recent_load_window(spark: SparkSession, folder: str) -> DataFrame:
     """Events of the hour before the newest one, the events taken as load times."""
     events = read_table(spark, folder, "events")
@@ -121,7 +147,7 @@ def recent_load_window(spark: SparkSession, folder: str) -> DataFrame:
 
 def typed_text(spark: SparkSession, folder: str) -> DataFrame:
     """Typed core columns from text: fractions round, bad numbers and foreign date forms become NULL."""
-    lines = read_table(spark, folder, "lineitem")
+    lines = read_table(spark, folder, "lineitem", spread=True)
     text = {c: "cast(null as string)" for c in RAW_COLUMNS}
     text["index_col"] = "cast(cast(l_extendedprice as decimal(12,2)) as string)"
     text["passenger_id"] = "cast(l_orderkey as string)"
@@ -135,7 +161,7 @@ def typed_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def scalar_functions(spark: SparkSession, folder: str) -> DataFrame:
     """Every scalar function of the load: hash, trim, case, text of dates, date parts, hour arithmetic, casts."""
-    lines = read_table(spark, folder, "lineitem").join(
+    lines = read_table(spark, folder, "lineitem", spread=True).join(
         read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     )
     day = "cast(l_shipdate as date)"
@@ -180,6 +206,15 @@ def star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return build_star(materialize(passenger_rows(spark, folder), "core"), tie_break())
 
 
+def hot_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Surrogate keys of order priorities, each of which holds a fifth of all rows."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    known = orders.where("o_orderpriority <> '3-MEDIUM'").select("o_orderpriority").distinct()
+    priorities = assign_surrogate_keys(known, ["o_orderpriority"], "priority_sk")
+    hot = find_hot_keys(orders, ["o_orderpriority"])["o_orderpriority"]
+    return lookup(orders, priorities, "o_orderpriority", hot, ["o_orderkey"])
+
+
 def fact_build(spark: SparkSession, folder: str) -> DataFrame:
     return star(spark, folder)[FACT.name]
 
@@ -192,11 +227,6 @@ def mart_region(spark: SparkSession, folder: str) -> DataFrame:
     return flights_by_continent(star(spark, folder))
 
 
-def revenue_by_region(spark: SparkSession, folder: str) -> DataFrame:
-    """Flagship: facts by continent and year, from order tables through dimensions and keys."""
-    return mart_region(spark, folder)
-
-
 # -- merges ------------------------------------------------------------------------
 
 
@@ -253,7 +283,7 @@ def _literal(spark: SparkSession, folder: str) -> Merge:
 def _fact_merge(spark: SparkSession, folder: str) -> Merge:
     """Line items shipped before 1998 as target, all as new facts."""
     day = F.date_format("l_shipdate", "yyyyMMdd")
-    facts = read_table(spark, folder, "lineitem").select(
+    facts = read_table(spark, folder, "lineitem", spread=True).select(
         F.expr(fact_id("cast(l_orderkey as string)", "l_partkey", "cast(l_shipdate as date)")).alias("id"),
         F.col("l_orderkey").alias("passenger_sk"), F.col("l_partkey").alias("flight_sk"),
         F.col("l_suppkey").alias("airport_sk"), day.cast("long").alias("date_sk"),
@@ -458,6 +488,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_null_tokens": raw_null_tokens,
     "csv_load": csv_load,
     "load_history": load_history_by_type,
+    "load_once": load_once,
+    "staging_refill": staging_refill,
     "recent_load_window": recent_load_window,
     "typed_core": typed_text,
     "scalar_functions": scalar_functions,
@@ -467,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_flight": _dimension(FLIGHT_PLAN),
     "dim_date": _dimension(DATE_PLAN),
     "surrogate_keys": surrogate_keys,
+    "hot_key_lookup": hot_key_lookup,
     "fact_build": fact_build,
     "mart_daily": mart_daily,
     "mart_region": mart_region,

@@ -38,31 +38,35 @@ COLUMNS = {
 }
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread`` deals its rows out to all cores if it has fewer files than there are cores:
+    one small file is one task, however much is computed per row. A table of many files stays as it is."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if spread and len(table.inputFiles()) < cores else table
 
 
 def passenger_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Core columns (without index_col) and the line-item columns as ``_l_…``.
 
-    Suppliers and customers meet their nation before they meet the line items,
-    so the large side is joined to finished small ones.
+    Orders take their customer before they meet the line items, so the largest
+    table is shuffled once, on the order key. Supplier, nation and region follow
+    one by one: each is judged by its own file size and broadcast if small,
+    which a join of joins, whose size Catalyst can only multiply, would not be.
     """
     nation = read_table(spark, folder, "nation")
-    airports = (
-        read_table(spark, folder, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(read_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", "s_nationkey", "n_name", "r_name")
-    )
     home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"))
-    passengers = read_table(spark, folder, "customer").join(home, "c_nationkey").select("c_custkey", "c_name", "c_nation")
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    lines = read_table(spark, folder, "lineitem")
+    orders = read_table(spark, folder, "orders").join(
+        read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    ).join(home, "c_nationkey")
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "c_name", "c_nation")
+    suppliers = read_table(spark, folder, "supplier")
     return (
-        lines.join(airports, F.col("l_suppkey") == F.col("s_suppkey"))
+        read_table(spark, folder, "lineitem")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(passengers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(read_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr(*[f"{e} as {c}" for c, e in COLUMNS.items()], *[f"{c} as _{c}" for c in LINE_COLUMNS])
     )
 

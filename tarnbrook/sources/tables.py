@@ -50,6 +50,7 @@ class Commit:
     inserted: int = 0
     updated: int = 0
     deleted: int = 0
+    rows: int = 0
     high_key: int = 0
     base_version: int = 0
     base_path: str | None = None
@@ -101,6 +102,11 @@ class LogTable:
     def version(self) -> int:
         return self.head.version if self.head else 0
 
+    @property
+    def rows(self) -> int:
+        """Number of rows now, from the commit rows."""
+        return self.head.rows if self.head else 0
+
     @property
     def source_version(self) -> int:
         """How far this table has consumed its source: stored in its own commits,
@@ -133,7 +139,7 @@ class LogTable:
     def _commit(self, kind: str, **values) -> Commit:
         previous = self.head
         carried = {} if previous is None else {
-            k: getattr(previous, k) for k in ("high_key", "base_version", "base_path", "base_source_version")
+            k: getattr(previous, k) for k in ("rows", "high_key", "base_version", "base_path", "base_source_version")
         }
         commit = Commit(
             version=self.version + 1,
@@ -159,6 +165,7 @@ class LogTable:
         seen = Observation()
         rows.observe(seen, *change_counters()).write.mode("overwrite").parquet(self._log_path(self.version + 1))
         counts = {k: int(seen.get.get(k) or 0) for k in ("inserted", "updated", "deleted")}
+        commit["rows"] = self.rows + counts["inserted"] - counts["deleted"]
         if high_key_from_inserts:
             commit["high_key"] = self.high_key + counts["inserted"]
         return self._commit(kind, **counts, **commit)
@@ -173,7 +180,8 @@ class LogTable:
         path = f"{self.path}/base-{version}-{uuid.uuid4().hex}"
         seen = Observation()
         rows.select(*self.spec.columns, *self.extra).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-        return self._commit("replace", inserted=int(seen.get.get("n") or 0), base_version=version, base_path=path,
+        rows_now = int(seen.get.get("n") or 0)
+        return self._commit("replace", inserted=rows_now, rows=rows_now, base_version=version, base_path=path,
                             base_source_version=None, **commit)
 
     def compact(self) -> Commit | None:
@@ -364,7 +372,8 @@ class Catalog:
         if copy:
             clone.replace(source.read(version), high_key=source.high_key)
         elif version:
-            clone._commit("clone", base_version=1, base_path=source.path, base_source_version=version,
+            rows = next(c.rows for c in source._commits if c.version == version)
+            clone._commit("clone", rows=rows, base_version=1, base_path=source.path, base_source_version=version,
                           high_key=source.high_key)
         return clone
 

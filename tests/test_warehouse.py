@@ -79,6 +79,9 @@ def test_initial_load(spark, loaded, rows):
     assert sorted(r[0] for r in audit.where("task_id not like '%airport'").select("rows_affected").collect()) == [11] * 5
     assert audit.where("task_id = 'load_dim_airport'").first()["rows_affected"] == 4
     assert warehouse.secure_view().count() == 5  # rows 0, 4, 8 and 3, 7 land in Europe
+    warehouse.register_views()
+    assert spark.sql("select distinct continent_name from flights_airports_secure").collect()[0][0] == "Europe"
+    assert spark.sql("select * from fact_passenger_flight").count() == 11
     keys = rows(warehouse[DIM_PASSENGER].read(), "passenger_sk", "passenger_id")
     assert keys == sorted([(n + 1, f"P{n:05d}") for n in range(11)], key=str)
 
