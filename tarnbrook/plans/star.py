@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tarnbrook.operators.surrogate import assign_surrogate_keys
 from tarnbrook.schemas import (
     DIM_AIRPORT, DIM_DATE, DIM_FLIGHT, DIM_PASSENGER, DIMENSIONS, FACT, TableSpec,
 )
+from tarnbrook.session import side_by_side
 
 DELETED, ADDED = "s._action = 'DELETE'", "s._action = 'INSERT'"
 FLAGGED_UPDATE = f"{ADDED} and s._is_update"
@@ -200,7 +202,11 @@ def build_dimension(core: DataFrame, plan: DimensionPlan, tie_break: list[str])
 
 
 def build_star(core: DataFrame, tie_break: list[str]) -> dict[str, DataFrame]:
-    """Initial load without tables: four dimensions and the fact, by table name."""
-    star = {s.name: build_dimension(core, DIMENSION_PLANS[s.name], tie_break) for s in DIMENSIONS}
+    """Initial load without tables: four dimensions side by side, then the fact, by table name."""
+    dims = side_by_side(
+        core.sparkSession,
+        [partial(build_dimension, core, DIMENSION_PLANS[spec.name], tie_break) for spec in DIMENSIONS],
+    )
+    star = {spec.name: dim for spec, dim in zip(DIMENSIONS, dims)}
     star[FACT.name] = fact_rows(core, star)
     return star

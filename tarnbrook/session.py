@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _scope = threading.local()
@@ -86,3 +89,23 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             files, target = _file_system(spark, path)
             files.delete(target, True)
         _scope.paths = outer
+
+
+def side_by_side(spark: SparkSession, tasks: list[Callable[[], Any]]) -> list[Any]:
+    """Run independent driver calls at once, so that their Spark jobs share the cluster.
+
+    All of them finish before the first error, if any, is raised. A scratch
+    scope around the call also covers what they write.
+    """
+    paths = getattr(_scope, "paths", None)
+
+    def run(task: Callable[[], Any]) -> Any:
+        outer, _scope.paths = getattr(_scope, "paths", None), paths
+        try:
+            return task()
+        finally:
+            _scope.paths = outer
+
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(run), task) for task in tasks]
+    return [future.result() for future in started]
