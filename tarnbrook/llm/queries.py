@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnbrook.llm import bpe, contamination, language, lines, secret_scan, sharding
+from tarnbrook.llm import bpe, contamination, jaccard, language, lines, passages, secret_scan, sharding
 from tarnbrook.llm.package import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_documents(spark, folder))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_sets(_documents(spark, folder))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination_report(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -48,6 +52,10 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_report(_documents(spark, folder))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.passage_report(_documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder))
 
@@ -56,8 +64,10 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
     "op4_language_id": op4_language_id,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_sharding": op10_sharding,
 }
 
@@ -96,7 +106,7 @@ WITH words AS (
 ), hits AS (
   SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON p.n = x.n AND p.v = x.v
 ), covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS at FROM hits) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hits) GROUP BY doc_id
 ), found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
   FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
