@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnbrook.llm import bpe, contamination, jaccard, language, lines, passages, secret_scan, sharding
+from tarnbrook.llm import bpe, contamination, jaccard, language, lines, passages, scoring, secret_scan, sharding, vectors
 from tarnbrook.llm.package import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_report(_documents(spark, folder), vocabulary())
 
 
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return vectors.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_report(_documents(spark, folder))
 
@@ -56,6 +61,10 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.passage_report(_documents(spark, folder))
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score_documents(_documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder))
 
@@ -63,11 +72,13 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
+    "op3_near_vectors": op3_near_vectors,
     "op4_language_id": op4_language_id,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
 }
 
