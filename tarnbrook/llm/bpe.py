@@ -176,20 +176,24 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def token_report(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids and the round trip in one pass, without moving them to the JVM."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): ids, and the text they decode to, in one pass."""
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for text in batch.column("text"):
-                listed, ids = bpe.encode_listed(text.as_py() or "")
-                counts.append(len(ids))
-                ids_sha.append(sha(listed))
-                text_sha.append(sha(bpe.decode(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], schema=schema)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = [bpe.encode_listed(t.as_py() or "") for t in part.column("text")]
+                columns = [[len(ids) for _, ids in rows], [ids for _, ids in rows], [sha(listed) for listed, _ in rows], [sha(bpe.decode(ids)) for _, ids in rows]]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+
+
+def token_report(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``round_trip``."""
+    return round_trip(docs, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -108,6 +108,27 @@ def hit_spans(text: str, covered: np.ndarray | None) -> list[tuple[int, int]]:
     return [(points(places[a][0]), points(places[b - 1][1])) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
+def _states(texts: list[str], shared: list[Broadcast]) -> list[tuple[int, np.ndarray | None, set[int]]]:
+    """``hit_words`` of each text over all automata, one automaton at a time."""
+    state = [(0, None, set()) for _ in texts]
+    for part in shared or [None]:
+        automata = [_automaton(part)] if part else []
+        for i, text in enumerate(texts):
+            count, covered, items = hit_words(text, automata)
+            before = state[i]
+            both = covered if before[1] is None else before[1] if covered is None else before[1] | covered
+            state[i] = (count, both, before[2] | items)
+    return state
+
+
+#: A document is contaminated if at least one word in so many is hit.
+SHARE = 20
+
+
+def contaminated(n_words: int, n_hit: int) -> bool:
+    return n_hit > 0 and SHARE * n_hit >= n_words
+
+
 FOUND = "doc_id long, n_words long, n_hit long, items array<long>, starts array<long>, ends array<long>"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])
 
@@ -119,14 +140,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column("text")]
-            state = [(0, None, set()) for _ in texts]
-            for part in shared or [None]:
-                automata = [_automaton(part)] if part else []
-                for i, text in enumerate(texts):
-                    count, covered, items = hit_words(text, automata)
-                    before = state[i]
-                    both = covered if before[1] is None else before[1] if covered is None else before[1] | covered
-                    state[i] = (count, both, before[2] | items)
+            state = _states(texts, shared)
             spans = [hit_spans(t, s[1]) for t, s in zip(texts, state, strict=True)]
             columns = [
                 [s[0] for s in state], [0 if s[1] is None else int(s[1].sum()) for s in state], [sorted(s[2]) for s in state],
@@ -137,8 +151,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
     return docs.select("doc_id", "text").mapInArrow(scan, FOUND)
 
 
-#: A document is contaminated if at least one word in so many is hit.
-SHARE = 20
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents (all columns) that are not contaminated."""
+    shared = broadcast_windows(benchmark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            state = _states([t.as_py() or "" for t in batch.column("text")], shared)
+            clean = [s[1] is None or not contaminated(s[0], int(s[1].sum())) for s in state]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -150,7 +173,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows = batch.select(["doc_id", "n_words", "n_hit", "items"]).to_pylist()
             for r in rows:
                 items = sorted(map(str, r.pop("items")))
-                r |= {"n_items": len(items), "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(), "contaminated": r["n_hit"] > 0 and SHARE * r["n_hit"] >= r["n_words"]}
+                r |= {"n_items": len(items), "items_sha256": hashlib.sha256(",".join(items).encode()).hexdigest(), "contaminated": contaminated(r["n_words"], r["n_hit"])}
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return find_contamination(docs, benchmark).mapInArrow(report, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")

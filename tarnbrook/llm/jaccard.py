@@ -324,8 +324,10 @@ def similar_sets(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that have the smallest doc_id of their component, or no doc_id.
 
-    Where several rows have that doc_id, one of them stays per doc_id and text.
+    Where several rows share that doc_id, one of them stays for each text.
     """
-    kept = similar_sets(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    kept = materialize(similar_sets(docs).where("doc_id = component_id").groupBy("doc_id").count(), "kept-ids")
+    named = docs.where("doc_id is not null").join(kept.select("doc_id"), "doc_id", "left_semi")
+    if not kept.where("count > 1").isEmpty():
+        named = named.dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id is null"))

@@ -198,11 +198,15 @@ def language_report(docs: DataFrame) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
-#: Texts of which no language holds this share of the n-grams are in no known language.
-REJECT_BELOW = 0.2
+#: Texts of so many code points, of which no language holds this share of the n-grams, are in no known language.
+REJECT_BELOW, EVIDENCE = 0.2, 40
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents (all columns) in a language that the corpus teaches; the others go."""
+    """The documents (all columns) in a language that the corpus teaches; ``und`` and texts foreign to all languages go.
+
+    Texts too short to tell stay.
+    """
     found = identify(docs, learn(docs.where(~held_out())))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= REJECT_BELOW)).select(*docs.columns)
+    foreign = (F.col("lang_score") < REJECT_BELOW) & (F.length("text") >= EVIDENCE)
+    return found.where((F.col("lang_pred") != UNKNOWN) & ~foreign).select(*docs.columns)

@@ -129,3 +129,10 @@ def line_report(docs: DataFrame) -> DataFrame:
         "doc_id", F.size("_lines").cast("long").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
         F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+def without_repeated_lines(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with the other lines only; ``n_chars``, where there is one, counts the new text."""
+    text = F.when(F.col("text").isNotNull(), F.col("_kept"))
+    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return drop_repeated_lines(docs).select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
