@@ -18,10 +18,12 @@ that repeat within bounded batches, and Spark sums them). They only steer the or
 and the classes: any order gives the same links. The most frequent ``ORDERED``
 tokens are broadcast; the others follow the order of their hashes.
 
-A signature's sets are not compared all with all. First each set is verified with
-the one earlier set it shares most signatures with; what links becomes a component.
-Then, within each signature, only sets of different components are verified, all of
-them. So large groups of near copies cost about one check per member, and no link
+A signature's sets are not compared all with all. In each signature the set that
+shares most signatures overall stands first. Each set is verified with the one of
+these that it meets most often; what links becomes a component. Then, within each
+signature, only sets of different components are verified, all of them that their
+sizes, the places of the shared token and counts of their tokens by hash do not rule
+out. So large groups of near copies cost about one check per member, and no link
 between components is missed. Sets are verified on their texts.
 
 Rows with equal sets are one node. Nodes are 64-bit hashes of the whole set. Rows
@@ -141,26 +143,25 @@ def frequent_tokens(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], rows.column("times").to_numpy()[order]
 
 
-def signatures(token: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """The signatures of one set, given its tokens and their frequencies."""
+def signatures(token: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, place) of one set, given its tokens and their frequencies; combinations have place 0."""
     n = len(token)
     order = np.lexsort((token, times))
     token, times = token[order], times[order]
     lacking = n - -(-PART * n // OF)
-    parts = []
-    if n * OF >= SHORT * PART:
-        parts.append(token[: lacking + 1])
+    single = lacking + 1 if n * OF >= SHORT * PART else 0
+    pairs = np.zeros(0, dtype=np.uint64)
     if n <= SHORT:
         rare = int(np.searchsorted(times, CLASS_2_FROM))
-        parts.append(token[: min(rare, lacking + 1)])
+        single = max(single, min(rare, lacking + 1))
         if rare < lacking + 1:
-            pairs = np.array(list(combinations(range(rare, lacking + 2), 2)), dtype=np.int64)
+            at = np.array(list(combinations(range(rare, lacking + 2), 2)), dtype=np.int64)
             with np.errstate(over="ignore"):
-                parts.append(mix(mix(token[pairs[:, 0]], 5) + token[pairs[:, 1]], 6))
-    return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+                pairs = mix(mix(token[at[:, 0]], 5) + token[at[:, 1]], 6)
+    return np.concatenate((token[:single], pairs)), np.concatenate((np.arange(single), np.zeros(len(pairs), dtype=np.int64)))
 
 
-_SIGNATURES = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
+_SIGNATURES = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 
 
 def _signature_rows(shared: Broadcast):
@@ -177,38 +178,71 @@ def _signature_rows(shared: Broadcast):
                 rows = np.flatnonzero(sizes >= 3)
                 found = [signatures(token[starts[r] : starts[r] + sizes[r]], times[starts[r] : starts[r] + sizes[r]]) for r in rows]
                 if found:
-                    lengths = np.array(list(map(len, found)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(nodes[rows], lengths)), pa.array(np.repeat(sizes[rows], lengths).astype(np.int32))], schema=_SIGNATURES
-                    )
+                    lengths = np.array([len(f[0]) for f in found])
+                    cells = [np.concatenate([f[0] for f in found]).view(np.int64), np.repeat(nodes[rows], lengths), np.repeat(sizes[rows], lengths), np.concatenate([f[1] for f in found])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(cells, _SIGNATURES, strict=True)], schema=_SIGNATURES)
 
     return run
 
 
-_SHARED = pa.schema([("sig", pa.int64()), ("hub", pa.int64()), ("hub_n", pa.int32()), ("node", pa.int64()), ("n", pa.int32())])
+def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (sig, node): the distinct rows of signatures that several nodes have. Holds one batch."""
+    last = None  # the latest row (sig, node, n, place), and whether it was given out
+    for batch in batches:
+        columns = [batch.column(f.name).to_numpy() for f in _SIGNATURES]
+        if last is not None:
+            columns = [np.concatenate(([v], c)) for v, c in zip(last[0], columns, strict=True)]
+        sig, node = columns[:2]
+        if not len(sig):
+            continue
+        new = np.ones(len(sig), dtype=bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+        at = np.flatnonzero(new)
+        same = sig[at[1:]] == sig[at[:-1]]
+        many = np.zeros(len(at), dtype=bool)
+        many[1:] |= same
+        many[:-1] |= same
+        given = many.copy()
+        if last is not None:
+            given[0] &= not last[1]
+            many[0] |= last[1]
+        out = at[given]
+        last = ([c[at[-1]] for c in columns], bool(many[-1]))
+        if len(out):
+            yield pa.RecordBatch.from_arrays([pa.array(c[out].astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _SIGNATURES, strict=True)], schema=_SIGNATURES)
+
+
+_STARS = pa.schema([("hub", pa.int64()), ("node", pa.int64())])
+
+
+def _fits(n: np.ndarray, place: np.ndarray, other_n: np.ndarray, other_place: np.ndarray) -> np.ndarray:
+    """Whether two sets whose first shared token stands at these places can be similar enough.
+
+    They share at most what follows in both, and need PART / (PART + OF) of the sum
+    of their sizes. A pair that is similar enough passes at its first shared token.
+    """
+    return (PART + OF) * np.minimum(n - place, other_n - other_place) >= PART * (n + other_n)
 
 
-def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (sig, node): each signature's later nodes beside its first one. Holds one batch."""
-    last = None  # sig, hub, hub_n, latest node
+def _star_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (sig, node, n, place) sorted by sig, the most sharing node first: each node beside its signature's first one."""
+    hub = None
     for batch in batches:
-        sig, node, n = (batch.column(c).to_numpy() for c in ("sig", "node", "n"))
+        sig, node, n, place = (batch.column(f.name).to_numpy() for f in _SIGNATURES)
         if not len(sig):
             continue
         starts = np.ones(len(sig), dtype=bool)
         starts[1:] = sig[1:] != sig[:-1]
-        starts[0] = last is None or last[0] != sig[0]
-        again = np.zeros(len(sig), dtype=bool)
-        again[1:] = (node[1:] == node[:-1]) & (sig[1:] == sig[:-1])
-        again[0] = not starts[0] and last[3] == node[0]
+        starts[0] = hub is None or hub[0] != sig[0]
         at = np.maximum.accumulate(np.where(starts, np.arange(len(sig)), -1))
-        hub, hub_n = np.where(at >= 0, node[at], 0), np.where(at >= 0, n[at], 0)
+        first = [np.where(at >= 0, c[at], 0) for c in (node, n, place)]
         if not starts[0]:
-            hub[at < 0], hub_n[at < 0] = last[1], last[2]
-        later = ~starts & ~again & (node != hub)
-        last = (sig[-1], hub[-1], hub_n[-1], node[-1])
-        if later.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[later]), pa.array(hub[later]), pa.array(hub_n[later].astype(np.int32)), pa.array(node[later]), pa.array(n[later])], schema=_SHARED)
+            for c, v in zip(first, hub[1:], strict=True):
+                c[at < 0] = v
+        hub = (sig[-1], *(c[-1] for c in first))
+        good = (node != first[0]) & _fits(n, place, first[1], first[2])
+        if good.any():
+            yield pa.RecordBatch.from_arrays([pa.array(first[0][good]), pa.array(node[good])], schema=_STARS)
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -216,43 +250,78 @@ PAIR_BLOCK = 1 << 16
 
 
 def _crossing_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (sig, root, node, n) sorted by sig: pairs of different roots and fitting sizes within a signature."""
+    """From rows (sig, root, node, n, place) sorted by sig: pairs of different roots within a signature that can be similar enough."""
 
     def emit(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        root, node, n = rows
+        root, node, n, place = rows
         if len(node) < 2 or (root == root[0]).all():
             return
         step = max(1, PAIR_BLOCK // len(node))
         for at in range(0, len(node), step):
             part = slice(at, at + step)
-            i, j = np.nonzero((root[part, None] != root) & (node[part, None] < node) & (OF * np.minimum(n[part, None], n) >= PART * np.maximum(n[part, None], n)))
+            i, j = np.nonzero((root[part, None] != root) & (node[part, None] < node) & _fits(n[part, None], place[part, None], n, place))
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(node[part][i]), pa.array(node[j])], schema=_PAIRS)
 
     open_: list[list[np.ndarray]] = []
     current = None
     for batch in batches:
-        sig, root, node, n = (batch.column(c).to_numpy() for c in ("sig", "root", "node", "n"))
+        sig, root, node, n, place = (batch.column(c).to_numpy() for c in ("sig", "root", "node", "n", "place"))
         cuts = np.concatenate(([0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)])) if len(sig) else [0]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if current is not None and sig[a] != current:
                 yield from emit([np.concatenate(x) for x in zip(*open_, strict=True)])
                 open_ = []
             current = sig[a]
-            open_.append([root[a:b], node[a:b], n[a:b]])
+            open_.append([root[a:b], node[a:b], n[a:b], place[a:b]])
     if open_:
         yield from emit([np.concatenate(x) for x in zip(*open_, strict=True)])
 
 
+SKETCH_MOST = 1 << 12
+
+
+def sketch(token: np.ndarray) -> bytes:
+    """Tokens counted by the low bits of their hashes, in about one bucket per token."""
+    buckets = 1 << min(max(6, (len(token) - 1).bit_length()), SKETCH_MOST.bit_length() - 1) if len(token) else 64
+    counts = np.bincount((token & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return counts.astype(np.uint16 if counts.max(initial=0) > 255 else np.uint8).tobytes() + bytes([buckets.bit_length(), 1 + int(counts.max(initial=0) > 255)])
+
+
+def _counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed[:-2], dtype=np.uint8 if packed[-1] == 1 else np.uint16).astype(np.int64)
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """No two sets with these counts share more tokens than this."""
+    size = min(len(a), len(b))
+    return int(np.minimum(a.reshape(-1, size).sum(axis=0), b.reshape(-1, size).sum(axis=0)).sum())
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sketches do not rule the similarity out."""
+    for batch in batches:
+        left, known, good = None, None, []
+        for x, y in zip(batch.column("left"), batch.column("right"), strict=True):
+            x = x.as_py()
+            if x != left:
+                left, known = x, _counts(x)
+            other = _counts(y.as_py())
+            good.append((PART + OF) * most_shared(known, other) >= PART * int(known.sum() + other.sum()))
+        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
 def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("packed", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("packed", pa.binary()), ("sketch", pa.binary())])
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         for first, end, data, offsets in chunks(batch):
             token, row = shingle_sets(data, offsets)
-            nodes = set_nodes(token, np.bincount(row, minlength=end - first))
+            sizes = np.bincount(row, minlength=end - first)
+            nodes, starts = set_nodes(token, sizes), np.cumsum(sizes) - sizes
+            sketches = [sketch(token[a : a + n]) for a, n in zip(starts, sizes, strict=True)]
             packed = [pack.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, end - first), pa.array(nodes), pa.array(packed, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, end - first), pa.array(nodes), pa.array(packed, pa.binary()), pa.array(sketches, pa.binary())], schema=schema)
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,11 +344,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], schema=schema)
 
 
+def _beside(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    left = texts.select(F.col("node").alias("a"), F.col(column).alias("left"))
+    right = texts.select(F.col("node").alias("b"), F.col(column).alias("right"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
+
+
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, linked) of pairs of nodes, decided on their texts."""
-    left = texts.select(F.col("node").alias("a"), F.col("packed").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("packed").alias("right"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_verified, "a long, b long, linked boolean")
+    return _beside(pairs, texts, "packed").mapInArrow(_verified, "a long, b long, linked boolean")
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
@@ -291,27 +364,27 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     sets = profile.where("n is not null").select("doc_id", "node", "n")
     shared = spark.sparkContext.broadcast(frequent_tokens(profile))
 
-    found = named.mapInArrow(_signature_rows(shared), "sig long, node long, n int")
+    rows_of = "sig long, node long, n int, place int"
+    found = named.mapInArrow(_signature_rows(shared), rows_of)
     # No number of partitions: the session's, made fewer or more by AQE.
-    sorted_ = found.repartition("sig").sortWithinPartitions("sig", "node")
-    shared_rows = materialize(sorted_.mapInArrow(_shared_rows, "sig long, hub long, hub_n int, node long, n int"), "shared-signatures")
-
-    members = shared_rows.select("node").union(shared_rows.select("hub")).distinct()
-    places = sets.where("doc_id is not null and n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(members, "node")
-    texts = materialize(named.mapInArrow(_packed_texts, "doc_id long, node long, packed binary").join(places, ["doc_id", "node"]), "candidate-texts")
-
-    fits = OF * F.least("hub_n", "n") >= PART * F.greatest("hub_n", "n")
-    best = shared_rows.where(fits).groupBy("node", "hub").count().groupBy("node").agg(F.max(F.struct("count", "hub")).alias("m"))
+    buckets = materialize(found.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_bucket_rows, rows_of), "buckets")
+    sharing = buckets.groupBy("node").agg(F.count("*").alias("sharing"))
+    texts = named.mapInArrow(_packed_texts, "doc_id long, node long, packed binary, sketch binary")
+    places = sets.where("doc_id is not null and n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(sharing.select("node"), "node")
+    texts = materialize(texts.join(places, ["doc_id", "node"]), "candidate-texts")
+
+    # The node that shares most signatures is likely the text that the others were copied from.
+    stars = buckets.join(sharing, "node").repartition("sig").sortWithinPartitions("sig", F.desc("sharing"), "node").select(*buckets.columns).mapInArrow(_star_rows, "hub long, node long")
+    best = stars.groupBy("node", "hub").count().groupBy("node").agg(F.max(F.struct("count", "hub")).alias("m"))
     first = materialize(verify(best.select(F.col("m.hub").alias("a"), F.col("node").alias("b")), texts), "verified")
     links = first.where("linked").select("a", "b")
     labels = connect(links)
 
-    buckets = shared_rows.select("sig", "node", "n").union(shared_rows.select("sig", F.col("hub").alias("node"), F.col("hub_n").alias("n")).distinct())
-    labelled = buckets.join(labels, "node", "left").select("sig", F.coalesce("root", "node").alias("root"), "node", "n")
-    mixed = labelled.repartition("sig").sortWithinPartitions("sig")
-    crossing = mixed.mapInArrow(_crossing_pairs, "a long, b long").distinct()
+    labelled = buckets.join(labels, "node", "left").select("sig", F.coalesce("root", "node").alias("root"), "node", "n", "place")
+    crossing = labelled.repartition("sig").sortWithinPartitions("sig").mapInArrow(_crossing_pairs, "a long, b long").distinct()
     refused = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = materialize(verify(crossing.join(refused, ["a", "b"], "left_anti"), texts), "verified")
+    possible = _beside(crossing.join(refused, ["a", "b"], "left_anti"), texts, "sketch").mapInArrow(_possible, "a long, b long")
+    second = materialize(verify(materialize(possible, "possible-pairs"), texts), "verified")
     labels = connect(links.union(second.where("linked").select("a", "b")))
 
     placed = sets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -119,7 +119,11 @@ def test_signatures_meet():
         both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
         times = lambda t: (t % np.uint64(600)).astype(np.int64)
         if 4 * both >= 3 * union and len(a) >= 3 and len(b) >= 3 and union > both:
-            assert len(np.intersect1d(jaccard.signatures(a, times(a)), jaccard.signatures(b, times(b))))
+            x, y = jaccard.signatures(a, times(a)), jaccard.signatures(b, times(b))
+            common = np.intersect1d(x[0], y[0])
+            fits = [bool(jaccard._fits(len(a), x[1][x[0] == s][0], len(b), y[1][y[0] == s][0])) for s in common]
+            assert any(fits)
+            assert jaccard.most_shared(jaccard._counts(jaccard.sketch(a)), jaccard._counts(jaccard.sketch(b))) >= both
 
 
 def test_jaccard_odd_rows(spark):
