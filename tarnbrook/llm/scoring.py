@@ -38,7 +38,7 @@ from tarnbrook.session import materialize
 CLASSES = 32
 HIDDEN = 16
 WINDOW = 16
-STREAMS = 256
+STREAMS = 512
 UPDATES = 64
 ROUNDS = 2
 RATES = (0.01, 0.004)
