@@ -38,12 +38,9 @@ COLUMNS = {
 }
 
 
-def read_table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread`` deals its rows out to all cores if it has fewer files than there are cores:
-    one small file is one task, however much is computed per row. A table of many files stays as it is."""
-    table = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if spread and len(table.inputFiles()) < cores else table
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def passenger_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -237,9 +237,32 @@ def test_stream_equals_batch(spark, tmp_path, rows):
         assert rows(stream[spec].read()) == rows(batch[spec].read()), spec.name
     assert rows(stream[LOAD_HISTORY].read(), "copy_id", "file_name", "rows_loaded") == [(1, "a.csv", 5), (2, "b.csv", 6)]
 
-    # A batch that comes again with the same number changes nothing.
-    replayed = stream.ingest(spark.createDataFrame([], RAW.schema), batch_id="passengers-1")
-    assert replayed.batch_id == "passengers-1"
+    # A batch that comes again with the same name (checkpoint id and number) changes nothing.
+    name = stream[RAW].head.batch_id
+    assert name.endswith("-1")
+    replayed = stream.ingest(spark.createDataFrame([], RAW.schema), batch_id=name)
+    assert replayed.batch_id == name
     versions = {s.name: stream[s].version for s in (RAW, CORE, *DIMENSIONS, FACT)}
     stream.advance()
     assert versions == {s.name: stream[s].version for s in (RAW, CORE, *DIMENSIONS, FACT)}
+
+
+def test_two_streams_into_one_warehouse(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    put(tmp_path / "a", "a.csv", [line(0)])
+    put(tmp_path / "b", "b.csv", [line(1)])
+    assert load_stream(warehouse, str(tmp_path / "a"), str(tmp_path / "offsets_a")) == 1
+    assert load_stream(warehouse, str(tmp_path / "b"), str(tmp_path / "offsets_b")) == 1
+    assert warehouse[RAW].read().count() == counts(warehouse)["passengers_cleaned"] == 2
+    assert counts(warehouse)["fact_passenger_flight"] == warehouse[LOAD_HISTORY].read().count() == 2
+
+
+def test_stream_leaves_out_files_of_a_batch_load(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    put(tmp_path / "in", "a.csv", [line(0)])
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    put(tmp_path / "in", "b.csv", [line(1)])
+    load_stream(warehouse, str(tmp_path / "in"), str(tmp_path / "offsets"))
+    assert warehouse[RAW].read().count() == warehouse[LOAD_HISTORY].read().count() == 2
+    assert counts(warehouse)["passengers_cleaned"] == 2
