@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 # Fixed value: how byte-level BPE splits a text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -80,7 +80,7 @@ class PrefixBpe:
     def compatible(self, left: bytes, right: bytes) -> bool:
         known = self.fits.get((left, right))
         if known is None:
-            if len(self.fits) >= 4 * REMEMBERED:
+            if len(self.fits) >= 2 * REMEMBERED:
                 self.fits.clear()
             known = self.fits[left, right] = self.merged(left + right) == [left, right]
         return known
