@@ -266,3 +266,41 @@ def test_stream_leaves_out_files_of_a_batch_load(spark, tmp_path):
     load_stream(warehouse, str(tmp_path / "in"), str(tmp_path / "offsets"))
     assert warehouse[RAW].read().count() == warehouse[LOAD_HISTORY].read().count() == 2
     assert counts(warehouse)["passengers_cleaned"] == 2
+
+
+def test_changes_of_one_key_take_effect_in_order(spark, tmp_path, rows):
+    put(tmp_path / "in", "one.csv", [line(n) for n in range(5)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    changes = [
+        ("DELETE", True, line(0)), ("INSERT", True, line(0, first_name="Second")),
+        ("DELETE", True, line(0, first_name="Second")), ("INSERT", True, line(0, first_name="Third")),
+        ("DELETE", False, line(1)), ("INSERT", False, line(1, first_name="Anew")),
+        ("DELETE", False, line(2)), ("INSERT", False, line(2, first_name="Gone")), ("DELETE", False, line(2)),
+        ("INSERT", False, line(3, first_name="Ignored")),
+        ("INSERT", False, line(20)), ("INSERT", False, line(20, first_name="Late")),
+        ("INSERT", False, line(21)), ("DELETE", True, line(21)), ("INSERT", True, line(21, first_name="Changed")),
+        ("INSERT", False, line(22, passenger_id="P0000022")),
+    ]
+    batch = change_rows(spark, *changes)
+    with pytest.raises(ValueError, match="order"):
+        warehouse.apply_changes(batch)
+    data = [(*row, n) for n, row in enumerate(batch.collect())]
+    warehouse.apply_changes(spark.createDataFrame(data, batch.schema.add("n", "integer")), order="n")
+    names = [(0, "Third"), (1, "Anew"), (3, "First3"), (4, "First4"), (20, "First20"), (21, "Changed")]
+    assert rows(warehouse[CORE].read(), "index_col", "first_name") == sorted(names, key=str)
+    assert rows(warehouse[QUARANTINE].read(), "index_col", "violations") == [("22", ["passenger_id:width"])]
+    assert rows(warehouse[DIM_PASSENGER].read(), "first_name") == sorted([(n,) for _, n in names], key=str)
+    assert counts(warehouse)["fact_passenger_flight"] == 6
+
+
+def test_file_names_with_pattern_letters(spark, tmp_path):
+    put(tmp_path / "in", "b[1].csv", [line(0), line(1) + ",extra"])
+    put(tmp_path / "in", "c{x} +1.csv", [line(2)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    assert counts(warehouse)["passengers_cleaned"] == 2
+    history = {r["file_name"]: r for r in warehouse[LOAD_HISTORY].read().collect()}
+    assert history["b[1].csv"]["first_error_line_number"] == 3 and history["c{x} +1.csv"]["rows_loaded"] == 1
