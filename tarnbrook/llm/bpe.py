@@ -4,12 +4,15 @@ For every prefix of a piece exactly one token can end its encoding. Going left t
 right, the automaton over the vocabulary gives all tokens that end at a position;
 the one whose predecessor (the last token of the prefix before it) is compatible
 with it is stored, and the back-pointers from the end give the ids. Two tokens are
-compatible if the merges turn the bytes of both into just these two; the answers
-are remembered per pair.
+compatible if the merges turn the bytes of both into just these two: undoing the
+merges at their seam, latest first, must meet no pair that would have merged earlier.
+The answers are remembered per pair.
 
 The vocabulary file is a parameter and is read by each worker; nothing is trained.
-Pieces seen before are remembered in two generations of bounded size. Whole texts
-are encoded; a null text is an empty one. Special tokens in a text become their
+Words and pieces seen before are remembered in two generations of bounded size. A word ends at
+a space that follows something else than white space: no piece crosses such a space,
+and none in front of it depends on what follows. Whole texts are encoded; a null
+text is an empty one. Special tokens in a text become their
 ids, as the file says. Other columns than doc_id and text are not read.
 """
 
@@ -17,18 +20,24 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 # Fixed value: how byte-level BPE splits a text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-REMEMBERED = 150_000
+REMEMBERED = 100_000
+PAIRS_REMEMBERED = 300_000
+LONGEST_REMEMBERED = 64
+
+#: Ids as decimals joined by commas, and as 32-bit numbers.
+Listed = tuple[str, bytes]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -39,6 +48,20 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Memory:
+    """What was seen before, in two generations: when the young one is full, the old one is forgotten."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def keep(self, key: str, value: object) -> None:
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self.young) >= REMEMBERED:
+                self.young, self.old = {}, self.young
+            self.young[key] = value
+
+
 class PrefixBpe:
     """Encoder and decoder for a ``tokenizers`` file with a byte-level BPE model."""
 
@@ -58,14 +81,35 @@ class PrefixBpe:
         self.rank = {(as_bytes(a), as_bytes(b)): r for r, (a, b) in enumerate(merges)}
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.size = max(self.token) + 1
+        self.made: dict[int, tuple[int, int, int]] = {}
+        self.pair_rank: dict[int, int] = {}
+        self.ordered = True
+        for (a, b), r in self.rank.items():
+            x, y, both = self.ids.get(a), self.ids.get(b), self.ids.get(a + b)
+            if x is None or y is None or both is None or both in self.made or any(len(t) > 1 and self.ids[t] not in self.made for t in (a, b)):
+                # Merges that are not in the order of their parts, or make a token twice, are played through instead.
+                self.ordered = False
+                break
+            self.made[both] = r, x, y
+            self.pair_rank[x * self.size + y] = r
+        self.fits: dict[int, bool] = {}
+        # Tokens that the merges do not leave whole end no prefix.
+        self.whole = {token: i for token, i in self.ids.items() if self._stays(token, i)}
         self.automaton = ahocorasick.Automaton()
-        for token in self.ids:
-            self.automaton.add_word(token.decode("latin-1"), token)
+        for token, i in self.whole.items():
+            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
         self.automaton.make_automaton()
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.alone: dict[bytes, bool] = {}
-        self.young: dict[str, tuple[str, tuple[int, ...]]] = {}
-        self.old: dict[str, tuple[str, tuple[int, ...]]] = {}
+        self.words, self.parts = Memory(), Memory()
+
+    def _stays(self, token: bytes, i: int) -> bool:
+        """The merges turn the token's bytes into just it; in ordered merges, if no pair at the seam of its two parts comes first."""
+        if not self.ordered:
+            return self.merged(token) == [token]
+        if len(token) == 1:
+            return True
+        made = self.made.get(i)
+        return made is not None and self._apart(made[1], made[2], made[0])
 
     def merged(self, data: bytes) -> list[bytes]:
         """What the merges leave of a short byte string, lowest rank and leftmost first."""
@@ -77,67 +121,113 @@ class PrefixBpe:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def compatible(self, left: bytes, right: bytes) -> bool:
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) >= 2 * REMEMBERED:
-                self.fits.clear()
-            known = self.fits[left, right] = self.merged(left + right) == [left, right]
-        return known
-
-    def reachable(self, token: bytes) -> bool:
-        known = self.alone.get(token)
-        if known is None:
-            known = self.alone[token] = self.merged(token) == [token]
+    def _apart(self, x: int, y: int, limit: int = 1 << 60) -> bool:
+        """No merge of a rank below ``limit`` joins the end of token x with the start of token y before both are whole."""
+        byte = (-1, 0, 0)
+        while True:
+            if self.pair_rank.get(x * self.size + y, limit) < limit:
+                return False
+            made_x, made_y = self.made.get(x, byte), self.made.get(y, byte)
+            if made_x[0] > made_y[0]:
+                limit, x = made_x[0], made_x[2]
+            elif made_y[0] >= 0:
+                # Of two equal merges the left one comes first, so a pair at the seam comes before the one in y.
+                limit, y = made_y[0] + 1, made_y[1]
+            else:
+                return True
+
+    def compatible(self, left: int, right: int) -> bool:
+        if len(self.fits) >= PAIRS_REMEMBERED:
+            self.fits.clear()
+        if self.ordered:
+            known = self._apart(left, right)
+        else:
+            a, b = self.token[left], self.token[right]
+            known = self.merged(a + b) == [a, b]
+        self.fits[left * self.size + right] = known
         return known
 
-    def piece(self, data: bytes) -> tuple[int, ...]:
+    def piece(self, data: bytes) -> list[int]:
         """Ids of one piece."""
-        whole = self.ids.get(data)
-        if whole is not None and self.reachable(data):
-            return (whole,)
-        last: list[bytes | None] = [None] * (len(data) + 1)
-        for end, token in self.automaton.iter(data.decode("latin-1")):
+        whole = self.whole.get(data)
+        if whole is not None:
+            return [whole]
+        known, compatible, size = self.fits.get, self.compatible, self.size
+        last, begin = [-1] * (len(data) + 1), [0] * (len(data) + 1)
+        for end, (length, token) in self.automaton.iter(data.decode("latin-1")):
             end += 1
-            if last[end] is None:
-                start = end - len(token)
-                before = last[start]
-                if (self.compatible(before, token) if before is not None else not start) and self.reachable(token):
-                    last[end] = token
+            if last[end] < 0:
+                start = end - length
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    fit = known(before * size + token)
+                    if not (compatible(before, token) if fit is None else fit):
+                        continue
+                last[end] = token
+                begin[end] = start
         out, at = [], len(data)
         while at:
-            token = last[at]
-            out.append(self.ids[token])
-            at -= len(token)
-        return tuple(reversed(out))
-
-    def _remember(self, piece: str) -> tuple[str, tuple[int, ...]]:
-        found = self.old.get(piece)
-        if found is None:
-            ids = self.piece(piece.encode())
-            found = ",".join(map(str, ids)), ids
-        if len(piece) <= 64:
-            if len(self.young) >= REMEMBERED:
-                self.young, self.old = {}, self.young
-            self.young[piece] = found
+            out.append(last[at])
+            at = begin[at]
+        out.reverse()
+        return out
+
+    def _pieces(self, words: str) -> Listed:
+        ids: list[int] = []
+        parts = self.parts
+        for piece in PIECES.findall(words):
+            found = parts.young.get(piece)
+            if found is None:
+                found = parts.old.get(piece) or self.piece(piece.encode())
+                parts.keep(piece, found)
+            ids += found
+        return ",".join(map(str, ids)), array("i", ids).tobytes()
+
+    def _word(self, word: str) -> Listed:
+        """A word and the space before it, not among the young ones."""
+        found = self.words.old.get(word) or self._pieces(" " + word)
+        self.words.keep(word, found)
         return found
 
-    def _encoded(self, text: str) -> Iterator[tuple[str, tuple[int, ...]]]:
+    def _plain(self, text: str) -> Iterator[Listed]:
+        """Text without special tokens."""
+        words, memory = text.split(" "), self.words
+        # The first word has no space before it; white space waits for the word that ends it.
+        waiting: list[str] = words[:1]
+        if words[0] and not words[0][-1].isspace():
+            yield self._pieces(words[0])
+            waiting = []
+        for word in words[1:]:
+            if not waiting:
+                found = memory.young.get(word)
+                if found is not None:
+                    yield found
+                elif word and not word[-1].isspace():
+                    yield self._word(word)
+                else:
+                    waiting = ["", word]
+            else:
+                waiting.append(word)
+                if word and not word[-1].isspace():
+                    yield self._pieces(" ".join(waiting))
+                    waiting = []
+        if waiting:
+            yield self._pieces(" ".join(waiting))
+
+    def encode_listed(self, text: str) -> Listed:
+        """The ids as decimals joined by commas, and as 32-bit numbers."""
+        found: list[Listed] = []
         for part in self.cut.split(text) if self.cut and any(s in text for s in self.special) else (text,):
             if part in self.special:
-                yield str(self.special[part]), (self.special[part],)
-                continue
-            for piece in PIECES.findall(part):
-                found = self.young.get(piece)
-                yield found if found is not None else self._remember(piece)
+                found.append((str(self.special[part]), np.int32(self.special[part]).tobytes()))
+            else:
+                found += self._plain(part)
+        return ",".join([f[0] for f in found if f[0]]), b"".join([f[1] for f in found])
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for _, ids in self._encoded(text)))
-
-    def encode_listed(self, text: str) -> tuple[str, list[int]]:
-        """The ids as decimals joined by commas, and as a list."""
-        found = list(self._encoded(text))
-        return ",".join([f[0] for f in found]), list(chain.from_iterable([f[1] for f in found]))
+        return np.frombuffer(self.encode_listed(text)[1], dtype=np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
@@ -148,17 +238,26 @@ def encoder(path: str) -> PrefixBpe:
     return PrefixBpe(path)
 
 
+def _lists(ids: list[bytes]) -> pa.Array:
+    """Arrow lists of rows of 32-bit numbers."""
+    ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) for each whole text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [bpe.encode(t.as_py() or "") for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
+        for part in _parts(batches):
+            ids = [bpe.encode_listed(t.as_py() or "")[1] for t in part.column("text")]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids)], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -176,24 +275,30 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): ids, and the text they decode to, in one pass."""
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    schema = pa.schema(fields)
-
+def _report(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = [bpe.encode_listed(t.as_py() or "") for t in part.column("text")]
-                columns = [[len(ids) for _, ids in rows], [ids for _, ids in rows], [sha(listed) for listed, _ in rows], [sha(bpe.decode(ids)) for _, ids in rows]]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
+        for part in _parts(batches):
+            ids, listed_sha, decoded_sha = [], [], []
+            for text in part.column("text"):
+                listed, numbers = bpe.encode_listed(text.as_py() or "")
+                ids.append(numbers)
+                listed_sha.append(sha(listed))
+                decoded_sha.append(sha(bpe.decode(np.frombuffer(numbers, dtype=np.int32).tolist())))
+            columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64())}
+            columns |= {"ids": _lists(ids)} if with_ids else {}
+            columns |= {"ids_sha256": pa.array(listed_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string())}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, {'ids array<int>, ' if with_ids else ''}ids_sha256 string, decoded_sha256 string")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): ids, and the text they decode to, in one pass."""
+    return _report(docs, path, with_ids=True)
 
 
 def token_report(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``round_trip``."""
-    return round_trip(docs, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``round_trip`` without the ids themselves."""
+    return _report(docs, path, with_ids=False)
