@@ -45,7 +45,7 @@ CELL_ROWS = 64
 LEAST_SCALE, MOST_SCALE = 1.1, 2.0
 MISS = 1e-4
 MOST_TABLES = 40
-SPLIT_ROWS = 4096
+SPLIT_ROWS = 1024
 SEED = 20
 TRIALS = 20_000
 
@@ -222,20 +222,21 @@ def _meeting_rows(lattice: Lattice, cut: dict[int, tuple[int, int]]):
 _FOUND = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
-def _first_meeting(lattice: Lattice, low: np.ndarray, high: np.ndarray, table: int, at_low: np.ndarray, at_high: np.ndarray) -> np.ndarray:
-    """Which pairs of unit vectors (low id, high id) meet here and in no earlier place.
+def _first_meeting(cells: list[np.ndarray], low: np.ndarray, high: np.ndarray, at_low: np.ndarray, at_high: np.ndarray) -> np.ndarray:
+    """Which pairs of rows (low id, high id) meet here and in no earlier place.
 
-    Places are, table by table, the cell of the low one and then that of the high
-    one. ``at_low`` and ``at_high`` say of which of the two this cell is the own one.
+    ``cells`` has the rows' cells in each table up to this one. Places are, table by
+    table, the cell of the low one and then that of the high one. ``at_low`` and
+    ``at_high`` say of which of the two this cell is the own one.
     """
-    earlier = np.zeros(len(low), dtype=bool)
-    for t in range(table + 1):
-        a, b = lattice.cells(low, t), lattice.cells(high, t)
-        in_low = (b == a[:, :1]).any(axis=1)
-        if t == table:
-            return ~earlier & (at_low | (at_high & ~in_low))
-        earlier |= in_low | (a == b[:, :1]).any(axis=1)
-    return ~earlier
+    meets = lambda table, a, b: (table[b] == table[a, :1]).any(axis=1)
+    first = np.flatnonzero(at_low | (at_high & ~meets(cells[-1], low, high)))
+    for table in cells[:-1]:
+        a, b = low[first], high[first]
+        first = first[~(meets(table, a, b) | meets(table, b, a))]
+    out = np.zeros(len(low), dtype=bool)
+    out[first] = True
+    return out
 
 
 def _roots(pairs: np.ndarray, count: int) -> np.ndarray:
@@ -261,6 +262,7 @@ def _cell_links(lattice: Lattice, limit: float):
         t = table.column("tab")[0].as_py()
         lefts, rights = np.flatnonzero(left), np.flatnonzero(right)
         links, pairs = np.zeros(len(ids), dtype=np.int64), []
+        cells: list[np.ndarray] = []
         for at in range(0, len(lefts), _BLOCK):
             part = lefts[at : at + _BLOCK]
             for to in range(0, len(rights), _BLOCK):
@@ -270,10 +272,12 @@ def _cell_links(lattice: Lattice, limit: float):
                 # Two vectors that are both at home here meet twice.
                 once = (ids[i] != ids[j]) & (~own[i] | (ids[i] > ids[j]))
                 i, j = i[once], j[once]
+                if len(i) and not cells:
+                    cells = [lattice.cells(unit, k) for k in range(t + 1)]
                 for k in range(0, len(i), 1 << 15):
                     a, b = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
                     low, high = np.where(ids[a] < ids[b], a, b), np.where(ids[a] < ids[b], b, a)
-                    mine = _first_meeting(lattice, unit[low], unit[high], t, own[low], own[high])
+                    mine = _first_meeting(cells, low, high, own[low], own[high])
                     low, high = low[mine], high[mine]
                     np.add.at(links, low, copies[high])
                     np.add.at(links, high, copies[low])
