@@ -22,10 +22,18 @@ A signature's sets are not compared all with all. In each signature the set that
 shares most signatures overall stands first. Each set is verified with the one of
 these that it meets most often; what links becomes a component. Then, within each
 signature, only sets of different components are verified, all of them that their
-sizes, the places of the shared token and counts of their tokens by hash do not rule
+sizes, the places of the shared tokens and counts of their tokens by hash do not rule
 out. So large groups of near copies cost about one check per member, and no link
 between components is missed. Sets are verified on their texts.
 
+A combination's place is the number of own tokens its set has at least before the
+second shared one, so sets that only share a passage are ruled out by place as in
+plain prefix filters. More tokens to a combination would not part such sets, as a
+passage's tokens come together. Signatures with more than ``SPLIT_ROWS`` sets are cut
+into blocks over many tasks, and there the counts of tokens are compared before a pair
+is given out. Sets that come too late to be like one of their own size ("tight") are
+compared only with the others there, as no two of them can be similar enough.
+
 Rows with equal sets are one node. Nodes are 64-bit hashes of the whole set. Rows
 without doc_id, and texts without words, link with nothing. Repeated doc_ids are
 rows of their own. Other columns than doc_id and text are not read.
@@ -144,13 +152,17 @@ def frequent_tokens(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(token: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, place) of one set, given its tokens and their frequencies; combinations have place 0."""
+    """(signature, place) of one set, given its tokens and their frequencies.
+
+    At two similar sets' first shared tokens, each shares at most what follows its
+    place. For a combination that is one less than the place of its second token.
+    """
     n = len(token)
     order = np.lexsort((token, times))
     token, times = token[order], times[order]
     lacking = n - -(-PART * n // OF)
     single = lacking + 1 if n * OF >= SHORT * PART else 0
-    pairs = np.zeros(0, dtype=np.uint64)
+    pairs, places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     if n <= SHORT:
         rare = int(np.searchsorted(times, CLASS_2_FROM))
         single = max(single, min(rare, lacking + 1))
@@ -158,7 +170,8 @@ def signatures(token: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.nda
             at = np.array(list(combinations(range(rare, lacking + 2), 2)), dtype=np.int64)
             with np.errstate(over="ignore"):
                 pairs = mix(mix(token[at[:, 0]], 5) + token[at[:, 1]], 6)
-    return np.concatenate((token[:single], pairs)), np.concatenate((np.arange(single), np.zeros(len(pairs), dtype=np.int64)))
+            places = at[:, 1] - 1
+    return np.concatenate((token[:single], pairs)), np.concatenate((np.arange(single), places))
 
 
 _SIGNATURES = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
@@ -247,6 +260,9 @@ def _star_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 PAIR_BLOCK = 1 << 16
+#: Signatures with more sets than this are cut into blocks of BLOCK_ROWS.
+SPLIT_ROWS = 256
+BLOCK_ROWS = 1024
 
 
 def _crossing_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +314,63 @@ def most_shared(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(a.reshape(-1, size).sum(axis=0), b.reshape(-1, size).sum(axis=0)).sum())
 
 
+def _block_pairs(table: pa.Table) -> pa.Table:
+    """Rows (root, node, n, place, left, sketch) of a block: the pairs of a left and another row, of different roots, that places and sketches do not rule out."""
+    root, node, n, place, left = (table.column(c).to_numpy() for c in ("root", "node", "n", "place", "left"))
+    counts = [_counts(x.as_py()) for x in table.column("sketch")]
+    lefts, rights = np.flatnonzero(left), np.flatnonzero(~left)
+    width = np.array([len(c) for c in counts])
+    by_width = {int(w): rights[width[rights] == w] for w in np.unique(width[rights])}
+    packed = {w: np.stack([counts[j] for j in rows]) for w, rows in by_width.items()}
+    loose = n >= (PART + OF) * place
+    found = []
+    for i in lefts:
+        for w, rows in by_width.items():
+            # Two loose rows meet twice.
+            good = (root[rows] != root[i]) & (~loose[rows] | (node[i] < node[rows])) & _fits(n[i], place[i], n[rows], place[rows])
+            at = np.flatnonzero(good)
+            size = min(w, int(width[i]))
+            mine = counts[i].reshape(-1, size).sum(axis=0)
+            for k in range(0, len(at), SKETCHES_AT_ONCE):
+                part = at[k : k + SKETCHES_AT_ONCE]
+                others = packed[w][part].reshape(len(part), -1, size).sum(axis=1)
+                shared = np.minimum(others, mine).sum(axis=1)
+                j = rows[part[(PART + OF) * shared >= PART * (n[i] + n[rows[part]])]]
+                if len(j):
+                    found.append((np.minimum(node[i], node[j]), np.maximum(node[i], node[j])))
+    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    return pa.table([pa.array(a), pa.array(b)], schema=_PAIRS)
+
+
+SKETCHES_AT_ONCE = 256
+
+
+def crossing(labelled: DataFrame, buckets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b), a < b: the nodes of different roots that share a signature and that their places do not rule out.
+
+    ``labelled`` has the rows of ``buckets`` with their roots. In signatures of many
+    rows the pairs have passed the sketches too.
+    """
+    large = materialize(buckets.groupBy("sig").count().where(F.col("count") > SPLIT_ROWS).select("sig"), "large-buckets")
+    few = labelled.join(large, "sig", "left_anti") if not large.isEmpty() else labelled
+    pairs = few.repartition("sig").sortWithinPartitions("sig").mapInArrow(_crossing_pairs, "a long, b long")
+    if large.isEmpty():
+        return pairs.distinct()
+    many = labelled.join(large, "sig").withColumn("loose", F.col("n") >= (PART + OF) * F.col("place"))
+    many = materialize(many, "large-bucket-rows")
+    # Only rows that some row may be like: tight rows of no loose one, and those of one root, are left out.
+    blocks = many.groupBy("sig").agg(
+        F.ceil(F.count_if("loose") / BLOCK_ROWS).cast("int").alias("xs"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("ys"),
+        F.min("root").alias("low"), F.max("root").alias("high"),
+    ).where("xs > 0 and low < high").select("sig", "xs", "ys")
+    cut = many.join(blocks, "sig")
+    name = F.xxhash64("node")
+    left = cut.where("loose").select("*", F.pmod(name, "xs").cast("int").alias("x"), F.explode(F.sequence(F.lit(0), F.col("ys") - 1)).alias("y"), F.lit(True).alias("left"))
+    right = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("xs") - 1)).alias("x"), F.pmod(name, "ys").cast("int").alias("y"), F.lit(False).alias("left"))
+    rows = left.unionByName(right).join(texts.select("node", "sketch"), "node").select("sig", "x", "y", "root", "node", "n", "place", "left", "sketch")
+    return pairs.union(rows.groupBy("sig", "x", "y").applyInArrow(_block_pairs, "a long, b long")).distinct()
+
+
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sketches do not rule the similarity out."""
     for batch in batches:
@@ -381,9 +454,8 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     labels = connect(links)
 
     labelled = buckets.join(labels, "node", "left").select("sig", F.coalesce("root", "node").alias("root"), "node", "n", "place")
-    crossing = labelled.repartition("sig").sortWithinPartitions("sig").mapInArrow(_crossing_pairs, "a long, b long").distinct()
     refused = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    possible = _beside(crossing.join(refused, ["a", "b"], "left_anti"), texts, "sketch").mapInArrow(_possible, "a long, b long")
+    possible = _beside(crossing(labelled, buckets, texts).join(refused, ["a", "b"], "left_anti"), texts, "sketch").mapInArrow(_possible, "a long, b long")
     second = materialize(verify(materialize(possible, "possible-pairs"), texts), "verified")
     labels = connect(links.union(second.where("linked").select("a", "b")))
 

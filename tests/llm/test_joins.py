@@ -126,6 +126,52 @@ def test_signatures_meet():
             assert jaccard.most_shared(jaccard._counts(jaccard.sketch(a)), jaccard._counts(jaccard.sketch(b))) >= both
 
 
+def licensed(count, passage=40, own=9):
+    """Texts that share a passage and are too different to link (36 of 54 shingles)."""
+    return [" ".join([f"p{i}" for i in range(passage)] + [f"own{k}x{i}" for i in range(own)]) for k in range(count)]
+
+
+def test_shared_passages_are_told_apart_by_place():
+    token = np.arange(1, 37, dtype=np.uint64)
+    a, b = (np.concatenate((token, np.arange(k, k + 9, dtype=np.uint64))) for k in (100, 200))
+    x, y = (jaccard.signatures(t, np.where(t < 100, 3000, 0)) for t in (a, b))
+    common = np.intersect1d(x[0], y[0])
+    assert len(common) == 9  # 6 combinations and 3 single tokens
+    assert not any(jaccard._fits(45, x[1][x[0] == s][0], 45, y[1][y[0] == s][0]) for s in common)
+
+
+def candidates(spark, monkeypatch, texts):
+    """Components, and the number of pairs given out by signatures."""
+    counted, real = [], jaccard.crossing
+
+    def counting(*args):
+        pairs = real(*args)
+        counted.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "crossing", counting)
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_sets(make(spark, texts)).collect()}, counted[0]
+
+
+def test_jaccard_of_a_passage_in_many_texts(spark, monkeypatch):
+    """A passage in every text gives no pairs by itself; links among its holders are kept."""
+    texts = licensed(600)
+    texts += [t + " more" for t in texts[:3]]
+    out, pairs = candidates(spark, monkeypatch, texts)
+    assert out == brute_similar(texts) and pairs < 100
+
+
+@pytest.mark.parametrize("split, block", [(1, 3), (4, 7)])
+def test_jaccard_in_blocks_equals_brute_force(spark, monkeypatch, split, block):
+    monkeypatch.setattr(jaccard, "SPLIT_ROWS", split)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = ODD + licensed(300) + [v for s in range(8) for v in variants(s, 8, 12 + 15 * s)] + [passage + " " + v for v in variants(99, 20, 14)] + [passage + f" tail{i} end{i}" for i in range(300)]
+    texts += small(spark)
+    out, _ = candidates(spark, monkeypatch, texts)
+    assert out == brute_similar(texts)
+
+
 def test_jaccard_odd_rows(spark):
     text = "a b c d e f g"
     out = jaccard.similar_sets(make(spark, [text, text, text, None], [None, 4, 4, 5])).collect()
