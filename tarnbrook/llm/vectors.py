@@ -16,7 +16,8 @@ finds from the two vectors. So links are counted where they are found, and what
 cell emits is one row per linked vector: its number of links, and a vector it is
 connected with. Equal vectors are one class and never compared. Cells with more than
 ``max(SPLIT_ROWS, rows / 10000)`` rows are cut into blocks, compared block by block
-in tasks of their own; there are few of them by that bound.
+in tasks of their own; there are few of them by that bound. If no vector is at home in
+such a cell, nothing is sent there: no pair meets in it.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with
 nothing. Only vectors of one length are compared. Rows without vec_id are returned
@@ -180,8 +181,8 @@ _MEET = pa.schema([("cell", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), (
 MEET = "cell long, x int, y int, tab int, id long, own boolean, left boolean, right boolean, copies long, vec binary"
 
 
-def _meeting_rows(lattice: Lattice, cut: dict[int, tuple[int, int]]):
-    """Rows by cell. ``left`` rows are compared with ``right`` ones, those indexed in the cell; cut cells send rows to each block."""
+def _meeting_rows(lattice: Lattice, cut: dict[int, tuple[int, int]], vacant: np.ndarray):
+    """Rows by cell. ``left`` rows are compared with ``right`` ones, those indexed in the cell; cut cells send rows to each block, vacant ones none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -194,6 +195,9 @@ def _meeting_rows(lattice: Lattice, cut: dict[int, tuple[int, int]]):
                         rank = np.tile(np.arange(cells.shape[1]), len(rows))
                         row = np.repeat(np.arange(len(rows)), cells.shape[1])
                         flat = cells.ravel()
+                        if len(vacant):
+                            used = ~np.isin(flat, vacant)
+                            rank, row, flat = rank[used], row[used], flat[used]
                         hot = np.isin(flat, np.fromiter(cut, dtype=np.int64, count=len(cut))) if cut else np.zeros(len(flat), bool)
                         picked = [(flat[~hot], np.zeros(int((~hot).sum()), int), np.zeros(int((~hot).sum()), int), row[~hot], rank[~hot] == 0, np.ones(int((~hot).sum()), bool), rank[~hot] == 0)]
                         extra: list[tuple] = []
@@ -304,8 +308,10 @@ def near_vectors(vectors: DataFrame, limit: float = LIMIT, lattice: Lattice | No
     lattice = lattice or fitted(size["n"], size["length"] or 8, limit)
     counted = classes.mapInArrow(_cell_names(lattice), "cell long, own long").groupBy("cell").agg(F.count("*").alias("n"), F.sum("own").alias("own"))
     most = max(SPLIT_ROWS, size["n"] // 10_000)
-    cut = {r["cell"]: (-(-r["n"] // most), -(-max(r["own"], 1) // most)) for r in counted.where((F.col("n") > most) & (F.col("own") > 0)).collect()}
-    meeting = classes.mapInArrow(_meeting_rows(lattice, cut), MEET)
+    large = counted.where(F.col("n") > most).collect()
+    cut = {r["cell"]: (-(-r["n"] // most), -(-r["own"] // most)) for r in large if r["own"]}
+    vacant = np.array([r["cell"] for r in large if not r["own"]], dtype=np.int64)
+    meeting = classes.mapInArrow(_meeting_rows(lattice, cut, vacant), MEET)
     found = materialize(meeting.groupBy("cell", "x", "y").applyInArrow(_cell_links(lattice, limit), "id long, links long, other long"), "vector-links")
     labels = connect(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))

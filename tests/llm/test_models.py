@@ -66,6 +66,28 @@ def test_vectors_of_the_driver_table(spark):
     assert vectors.near_vectors(table.limit(0)).count() == 0
 
 
+def test_cells_without_a_vector_at_home(spark, monkeypatch):
+    """Many vectors that probe a cell where none is at home are not sent there."""
+    most = 64
+    monkeypatch.setattr(vectors, "SPLIT_ROWS", most)
+    real = vectors._cell_links
+
+    def watched(lattice, limit):
+        run = real(lattice, limit)
+
+        def small(table):
+            if table.num_rows > most and not any(table.column("right").to_pylist()):
+                raise ValueError(f"{table.num_rows} rows in a cell without pairs")
+            return run(table)
+
+        return small
+
+    monkeypatch.setattr(vectors, "_cell_links", watched)
+    rows = list(enumerate(clusters(4, 1, 300, 0.01) + clusters(5, 100, 1, 0)))
+    out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in out} == brute_near(rows)
+
+
 def test_odd_vector_rows(spark):
     rows = [(None, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0])]
     out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
