@@ -132,6 +132,8 @@ QUARANTINE = TableSpec(
 MART_QUARANTINE = TableSpec(
     "mart_stage.quarantine", {**CORE.columns, "violations": T.ArrayType(STRING)}
 )
+# Core rows whose fact another core row states: same passenger, flight and day.
+FACT_QUARANTINE = TableSpec("mart_stage.fact_quarantine", MART_QUARANTINE.columns)
 
 DIMENSIONS = (DIM_PASSENGER, DIM_AIRPORT, DIM_FLIGHT, DIM_DATE)
 

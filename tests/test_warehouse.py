@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnbrook.plans.warehouse import Warehouse
 from tarnbrook.schemas import (
     AUDIT, CORE, DIM_AIRPORT, DIM_DATE, DIM_FLIGHT, DIM_PASSENGER, DIMENSIONS, FACT, LOAD_HISTORY,
-    MART_QUARANTINE, QUARANTINE, RAW, RAW_COLUMNS,
+    FACT_QUARANTINE, MART_QUARANTINE, QUARANTINE, RAW, RAW_COLUMNS,
 )
 from tarnbrook.streaming.incremental import load_stream
 
@@ -143,6 +143,29 @@ def test_errors_and_duplicates(spark, tmp_path, rows):
     assert shared["count"] == 2
 
 
+def test_every_core_row_is_a_fact_or_quarantined(spark, tmp_path, rows):
+    """Rows that share passenger, flight and day, within a load and across loads."""
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+
+    def repeat(n):
+        return line(0).replace(line(0).split(",")[0], str(n), 1)
+
+    for number, lines in enumerate([
+        [line(0), line(1), line(2, pilot_name=None), repeat(20), repeat(21)], [repeat(19), line(3)], [line(4)], [repeat(22), repeat(23)],
+    ]):
+        put(tmp_path / "in", f"{number}.csv", lines)
+        warehouse.load_files(str(tmp_path / "in"))
+        warehouse.advance()
+        facts, surplus = warehouse[FACT].read().count(), warehouse[FACT_QUARANTINE].read()
+        unnamed = warehouse[MART_QUARANTINE].read().where("array_contains(violations, 'dim_flight.flight_id:not_null')").count()
+        assert facts + surplus.count() + unnamed == warehouse[CORE].read().count()
+    assert rows(surplus, "index_col", "violations") == sorted([(n, ["fact_passenger_flight.id:repeated"]) for n in (0, 19, 20, 21, 22)], key=str)
+    assert warehouse[FACT].read().count() == 4
+    # An update of the row that the fact shows overwrites no other row.
+    warehouse.apply_changes(change_rows(spark, ("DELETE", True, repeat(23)), ("INSERT", True, repeat(23).replace("First0", "Renamed"))))
+    assert warehouse[FACT_QUARANTINE].read().count() == 5
+
+
 def test_change_batches(spark, loaded, rows):
     warehouse, _ = loaded
     start = counts(warehouse)
