@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnbrook.llm import bpe, contamination, jaccard, language, lines, passages, scoring, secret_scan, sharding, vectors
+from tarnbrook.llm import bpe, contamination, jaccard, language, lines, manifest, passages, scoring, secret_scan, sharding, vectors
+from tarnbrook.llm.oracles import NEW_ORACLES
 from tarnbrook.llm.package import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest_report(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_bpe": op2_bpe,
@@ -80,12 +85,13 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _BLANK = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-ORACLES: dict[str, str] = {
+ORACLES: dict[str, str] = NEW_ORACLES | {
     "op7_line_dedup": rf"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
