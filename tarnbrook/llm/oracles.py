@@ -78,4 +78,67 @@ FROM gp0 a JOIN tp0 b USING (id) JOIN tp{levels} c USING (id), t{levels} t
 """
 
 
-NEW_ORACLES = {"op13_merkle_manifest": manifest_sql()}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SEARCH_SQL = f"""
+WITH words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({lowered("coalesce(text, '')")}, '{_TERM}') AS w FROM documents
+), docs AS (SELECT d, doc_id, len(w) AS n, w FROM words WHERE len(w) > 0
+), whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs
+), tf AS (SELECT d, t, count(*)::BIGINT AS tf FROM (SELECT d, unnest(w) AS t FROM docs) GROUP BY d, t
+), df AS (SELECT t, count(*)::BIGINT AS df FROM tf GROUP BY t
+), asked AS (
+  SELECT item_id, t, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({lowered('text')}, '{_TERM}')) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL))
+  GROUP BY item_id, t
+), scored AS (
+  SELECT item_id, d, doc_id,
+         sum(times * CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN df USING (t) JOIN tf USING (t) JOIN docs USING (d), whole
+  GROUP BY item_id, d, doc_id
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+) WHERE rank <= 10
+"""
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _kept(words: str) -> str:
+    """Distinct 5-word runs hashed; those below an eighth of the hash space, or else the least one, ascending."""
+    runs = f"list_transform(generate_series(1, CASE WHEN len({words}) = 0 THEN 0 ELSE greatest(len({words}) - 4, 1) END), lambda i: md5(array_to_string(list_slice({words}, i, i + 4), ' '))[1:16])"
+    hashes = f"list_sort(list_distinct({runs}))"
+    below = f"list_filter({hashes}, lambda h: h < '2')"
+    return f"CASE WHEN len({below}) > 0 THEN {below} ELSE list_slice({hashes}, 1, 1) END"
+
+
+def _alike(a: str, b: str) -> str:
+    either = f"len(list_distinct(list_concat({a}, {b})))"
+    return f"CASE WHEN {either} = 0 THEN 1.0::DOUBLE ELSE len(list_intersect({a}, {b}))::DOUBLE / {either} END"
+
+
+FINGERPRINT_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS place, doc_id, coalesce(text, '') AS text FROM documents
+), pairs AS (
+  SELECT place, doc_id, text, coalesce(lead(text) OVER (ORDER BY place), first_value(text) OVER (ORDER BY place)) AS follower FROM texts
+), edits AS (
+  SELECT *, concat(left(text, (len(text) - len(text) // 4)::BIGINT), left(follower, (len(text) // 4)::BIGINT)) AS edited FROM pairs
+), spelled AS (
+  SELECT *, regexp_extract_all({lowered('text')}, '{_WORD}') AS w, regexp_extract_all({lowered('edited')}, '{_WORD}') AS we FROM edits
+), kept AS (
+  SELECT place, doc_id, text, edited, {_kept('w')} AS own, {_kept('we')} AS other FROM spelled
+), beside AS (
+  SELECT *, coalesce(lead(own) OVER (ORDER BY place), first_value(own) OVER (ORDER BY place)) AS after FROM kept
+)
+SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(own, '') AS fingerprint, array_to_string(other, '') AS edited_fingerprint,
+       {_alike('own', 'other')} AS near_edited, {_alike('own', 'after')} AS near_next,
+       CASE WHEN len(own) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(own, other))::DOUBLE / len(own) END AS held_in_edited
+FROM beside
+"""
+
+NEW_ORACLES = {"op11_ranked_search": SEARCH_SQL, "op12_fingerprints": FINGERPRINT_SQL, "op13_merkle_manifest": manifest_sql()}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnbrook.llm import bpe, contamination, jaccard, language, lines, manifest, passages, scoring, secret_scan, sharding, vectors
+from tarnbrook.llm import (
+    bpe, contamination, fingerprints, jaccard, language, lines, manifest, passages, scoring, search, secret_scan, sharding, vectors,
+)
 from tarnbrook.llm.oracles import NEW_ORACLES
 from tarnbrook.llm.package import ship
 
@@ -70,6 +72,14 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, folder))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked_search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_report(_documents(spark, folder))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.manifest_report(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -85,6 +95,8 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_fingerprints": op12_fingerprints,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
