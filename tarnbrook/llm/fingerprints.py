@@ -26,9 +26,9 @@ doc_id and text are not read.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,23 +43,28 @@ SCALE = 8
 RANGE_ROWS = 4096
 DIGITS = 16
 
-#: Fixed value: words are what stands between these bytes, with A-Z in lower case.
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+#: Fixed value: A-Z become a-z. Words are what stands between the bytes 0x20 and 0x09 to 0x0D, where ``bytes.split`` splits.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shingle_hashes(text: str, known: dict[str, bytes] | None = None) -> set[bytes]:
-    """Hashes (8 bytes) of the distinct shingles; ``known`` remembers them between similar texts."""
-    found = _WORD.findall(text.translate(_LOWER))
-    known = {} if known is None else known
-    hashes = set()
-    for i in range(max(1, len(found) - SHINGLE + 1) if found else 0):
-        shingle = " ".join(found[i : i + SHINGLE])
-        value = known.get(shingle)
-        if value is None:
-            value = known[shingle] = hashlib.md5(shingle.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()[:8]
-        hashes.add(value)
-    return hashes
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+
+
+def _run_hashes(found: list[bytes]) -> list[bytes]:
+    """The hash (8 bytes) of each run of ``SHINGLE`` following words, in order; fewer words are one run."""
+    line = b" ".join(found)
+    if len(found) <= SHINGLE:
+        return [hashlib.md5(line, usedforsecurity=False).digest()[:8]] if found else []
+    ends = list(accumulate(len(w) + 1 for w in found))
+    starts = [0, *ends]
+    md5 = hashlib.md5
+    return [md5(line[a : b - 1], usedforsecurity=False).digest()[:8] for a, b in zip(starts, ends[SHINGLE - 1 :], strict=False)]
+
+
+def shingle_hashes(text: str) -> set[bytes]:
+    """Hashes of the distinct shingles of a text."""
+    return set(_run_hashes(_words(text)))
 
 
 def _scaled(hashes: set[bytes]) -> frozenset[bytes]:
@@ -67,8 +72,8 @@ def _scaled(hashes: set[bytes]) -> frozenset[bytes]:
     return kept or frozenset([min(hashes)]) if hashes else kept
 
 
-def sketch(text: str, known: dict[str, bytes] | None = None) -> frozenset[bytes]:
-    return _scaled(shingle_hashes(text, known))
+def sketch(text: str) -> frozenset[bytes]:
+    return _scaled(shingle_hashes(text))
 
 
 def merge(*sketches: frozenset[bytes]) -> frozenset[bytes]:
@@ -139,10 +144,9 @@ def edited_text(text: str, follower: str) -> str:
 
 @dataclass
 class _Placed:
-    range_: int
     doc_id: int | None
     text: str
-    known: dict[str, bytes]
+    runs: list[bytes]
     own: frozenset[bytes]
 
 
@@ -158,9 +162,18 @@ REPORT = (
 _YIELD_ROWS = 512
 
 
+def _edited_hashes(at: _Placed, edited: str) -> set[bytes]:
+    """Shingles of the edited text; the runs before the cut are those of the text itself."""
+    found = _words(edited)
+    kept = len(at.text) - len(at.text) // 4
+    # The last word before the cut may go on behind it.
+    same = max(0, len(_words(at.text[:kept])) - SHINGLE)
+    return {*at.runs[:same], *_run_hashes(found[same:])}
+
+
 def _row(at: _Placed, after: _Placed) -> tuple:
     edited = edited_text(at.text, after.text)
-    other = sketch(edited, at.known)
+    other = _scaled(_edited_hashes(at, edited))
     return (
         at.doc_id, len(at.text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), spell(at.own), spell(other),
         resemblance(at.own, other), resemblance(at.own, after.own), containment(at.own, other),
@@ -171,12 +184,12 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (range, guest, doc_id, text): each row of a range meets the next one, and the last one the first guest."""
     held, rows = None, []
     for batch in batches:
-        for range_, guest, doc_id, text in zip(*(batch.column(c) for c in ("range", "guest", "doc_id", "text")), strict=True):
-            place, text = range_.as_py(), text.as_py() or ""
+        for guest, doc_id, text in zip(*(batch.column(c) for c in ("guest", "doc_id", "text")), strict=True):
             if held is None and guest.as_py():
                 continue  # a guest after the first of its range
-            known: dict[str, bytes] = {}
-            here = _Placed(place, doc_id.as_py(), text, known, sketch(text, known))
+            text = text.as_py() or ""
+            runs = _run_hashes(_words(text))
+            here = _Placed(doc_id.as_py(), text, runs, _scaled(set(runs)))
             if held is not None:
                 rows.append(_row(held, here))
             held = None if guest.as_py() else here
@@ -230,7 +243,7 @@ def compare_followers(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
             )
 
     placed = docs.select("doc_id", "text").mapInArrow(place, "range long, guest boolean, doc_id long, text string")
-    walked = placed.repartition(last + 1, "range").sortWithinPartitions("range", "guest", "doc_id", "text")
+    walked = placed.repartitionById(last + 1, F.col("range").cast("int")).sortWithinPartitions("range", "guest", "doc_id", "text")
     return walked.mapInArrow(_walk, REPORT)
 
 
