@@ -174,23 +174,26 @@ LOOKUPS = {
 def fact_rows(
     rows: DataFrame, dims: dict[str, DataFrame], hot: dict[str, HotKeys] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Fact rows (and the ``keep`` columns) by four left lookups of surrogate keys; each dimension must be unique on its key.
-
-    The flight key is derived once. The small dimensions come first: Catalyst
-    broadcasts them by size, so only flight and passenger shuffle, and those
-    carry just the columns a fact needs.
-    """
+    """Fact rows (and the ``keep`` columns) of core rows; the flight key is derived once."""
     facts = rows.withColumn("flight_id", F.expr(FLIGHT_KEY)).select(
         "passenger_id", "flight_id", "arrival_airport", "departure_date", "passenger_status", "ticket_type", *keep
     )
+    return keyed_facts(facts, dims, hot).select(*FACT.columns, *keep)
+
+
+def keyed_facts(facts: DataFrame, dims: dict[str, DataFrame], hot: dict[str, HotKeys] | None = None) -> DataFrame:
+    """Rows with a flight key, with surrogate keys from four left lookups and the fact's id.
+
+    Each dimension must be unique on its key. The small dimensions come first:
+    Catalyst broadcasts them by size, so only flight and passenger shuffle.
+    """
     if hot is None:
         hot = find_hot_keys(facts, list(LOOKUPS))
     spread_by = ["passenger_id", "flight_id", "departure_date"]
     for column, (spec, key) in LOOKUPS.items():
         dim = dims[spec.name].select(F.col(key).alias(column), spec.surrogate)
         facts = lookup(facts, dim, column, hot[column], [c for c in spread_by if c != column])
-    facts = facts.withColumn("id", F.expr(fact_id("passenger_id", "flight_sk", "departure_date")))
-    return facts.select(*FACT.columns, *keep)
+    return facts.withColumn("id", F.expr(fact_id("passenger_id", "flight_sk", "departure_date")))
 
 
 # -- whole star from core rows -------------------------------------------------

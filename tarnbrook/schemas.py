@@ -132,10 +132,27 @@ QUARANTINE = TableSpec(
 MART_QUARANTINE = TableSpec(
     "mart_stage.quarantine", {**CORE.columns, "violations": T.ArrayType(STRING)}
 )
-# Core rows whose fact another core row states: same passenger, flight and day.
-FACT_QUARANTINE = TableSpec("mart_stage.fact_quarantine", MART_QUARANTINE.columns)
-
 DIMENSIONS = (DIM_PASSENGER, DIM_AIRPORT, DIM_FLIGHT, DIM_DATE)
 
+
+def winner_state(spec: TableSpec) -> TableSpec:
+    """Per key of a dimension: the place of the core row it shows, and how many core rows have the key."""
+    keys = {k: spec.columns[k] for k in spec.key}
+    return TableSpec(f"{spec.name}_state", {**keys, "winner_day": DATE, "winner_index": LONG, "uses": LONG}, key=spec.key)
+
+
+DIMENSION_STATES = {s.name: winner_state(s) for s in DIMENSIONS}
+
+# What a fact is about. Of the core rows that state one, the newest is the fact and the others wait in quarantine.
+STATED = ("passenger_id", "flight_id", "departure_date")
+_STATING = {
+    "passenger_id": STRING, "flight_id": STRING, "departure_date": DATE, "index_col": LONG,
+    "arrival_airport": STRING, "passenger_status": STRING, "ticket_type": STRING,
+}
+FACT_STATE = TableSpec(f"{FACT.name}_state", {**_STATING, "id": STRING}, key=STATED)
+FACT_QUARANTINE = TableSpec(
+    "mart_stage.fact_quarantine", {**_STATING, "violations": T.ArrayType(STRING)}, key=("index_col",)
+)
+
 # Columns a change row carries next to the table's own.
 CHANGE_COLUMNS = {"_action": STRING, "_is_update": BOOL, "_row_id": STRING}
