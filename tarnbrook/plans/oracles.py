@@ -151,10 +151,15 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
 FROM orders
 WHERE NOT (o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW'))""",
     "load_history": """
-SELECT event_type, count(*) AS rows_parsed, count(*) FILTER (WHERE value <= 20) AS rows_loaded,
-       count(*) FILTER (WHERE value > 20) AS error_rows, CAST(0 AS BIGINT) AS files_without_line,
+SELECT event_type, CASE WHEN min(value) > 20 THEN 'Load failed' WHEN max(value) > 20 THEN 'Partially loaded' ELSE 'Loaded' END AS status,
+       count(*) AS rows_parsed, count(*) FILTER (WHERE value <= 20) AS rows_loaded,
+       count(*) FILTER (WHERE value > 20) AS error_rows, min(place) FILTER (WHERE value > 20) AS first_error_line_number,
        CASE WHEN max(value) > 20 THEN 'row has 4 cells, table has 3 columns' END AS first_error_message
-FROM events GROUP BY event_type""",
+FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) + 1 AS place FROM events) GROUP BY event_type""",
+    "csv_quoted_breaks": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, CAST(length(text) - length(replace(text, chr(10), '')) AS BIGINT) AS n_breaks,
+       md5(text) AS text_md5
+FROM (SELECT doc_id, source, CASE WHEN text NOT IN ('', 'NULL') THEN text END AS text FROM documents)""",
     "load_once": f"""
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type
 FROM events WHERE ts >= {_MIDDLE}""",

@@ -85,33 +85,36 @@ def csv_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_history_by_type(spark: SparkSession, folder: str) -> DataFrame:
-    """Load history of events written as CSV, one folder per type; error rows have a cell too many.
-
-    Files are rolled up per folder, as their number follows the data. Every file
-    with errors must name its first bad line.
-    """
+    """Load history of events written as CSV, one file per type in the order of event_id; error rows have a cell too many."""
     events = read_table(spark, folder, "events")
     cells = [F.col(c).cast("string") for c in ("event_id", "user_id", "event_type")]
     line = F.concat_ws(",", *cells, F.when(F.col("value") > 20, F.lit("high")))
     target = scratch_path(spark, "csv-events")
-    lines = events.select(line.alias("event,user,type"), F.col("event_type"))
+    lines = events.repartition("event_type").sortWithinPartitions("event_type", "event_id").select(line.alias("event,user,type"), F.col("event_type"))
     lines.write.partitionBy("event_type").options(
         header=True, sep="\x01", quote="\x00", escape="\x00", quoteMode="NONE"
     ).csv(target)
     schema = TableSpec("events_text", {c: STRING for c in ("event", "user", "type")}).schema
     rows = materialize(read_csv(spark, f"{target}/*", schema), "csv-rows")
-    history = load_history(spark, rows, F.current_timestamp(), 3)
-    located = F.col("first_error_line_number") > 1
-    return (
-        history.withColumn("event_type", F.regexp_extract("file_path", "event_type=([^/]+)", 1))
-        .groupBy("event_type")
-        .agg(
-            F.sum("rows_parsed").alias("rows_parsed"),
-            F.sum("rows_loaded").alias("rows_loaded"),
-            F.sum("error_rows").alias("error_rows"),
-            F.count_if((F.col("error_rows") > 0) & ~F.coalesce(located, F.lit(False))).alias("files_without_line"),
-            F.max("first_error_message").alias("first_error_message"),
-        )
+    history = load_history(rows, F.current_timestamp(), 3)
+    return history.select(
+        F.regexp_extract("file_path", "event_type=([^/]+)", 1).alias("event_type"),
+        "status", "rows_parsed", "rows_loaded", "error_rows", "first_error_line_number", "first_error_message",
+    )
+
+
+def csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks and quotes inside cells, written as CSV and read by lines."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "text", "source")
+    target = scratch_path(spark, "csv-documents")
+    documents.write.options(
+        header=True, quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(target)
+    schema = TableSpec("documents_text", {c: STRING for c in ("doc_id", "text", "source")}).schema
+    rows = materialize(read_csv(spark, target, schema), "csv-rows")
+    breaks = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit("")))
+    return rows.where(F.col(BAD).isNull()).select(
+        "doc_id", "source", breaks.cast("long").alias("n_breaks"), F.md5(F.col("text").cast("binary")).alias("text_md5")
     )
 
 
@@ -488,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_null_tokens": raw_null_tokens,
     "csv_load": csv_load,
     "load_history": load_history_by_type,
+    "csv_quoted_breaks": csv_quoted_breaks,
     "load_once": load_once,
     "staging_refill": staging_refill,
     "recent_load_window": recent_load_window,

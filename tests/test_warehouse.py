@@ -327,3 +327,11 @@ def test_file_names_with_pattern_letters(spark, tmp_path):
     assert counts(warehouse)["passengers_cleaned"] == 2
     history = {r["file_name"]: r for r in warehouse[LOAD_HISTORY].read().collect()}
     assert history["b[1].csv"]["first_error_line_number"] == 3 and history["c{x} +1.csv"]["rows_loaded"] == 1
+
+
+def test_a_stream_loads_line_breaks_in_quotes(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", [line(0, first_name='"two\nlines"'), line(1)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    load_stream(warehouse, str(tmp_path / "in"), str(tmp_path / "offsets"))
+    assert warehouse[CORE].read().where("index_col = 0").first()["first_name"] == "two\nlines"
+    assert warehouse[LOAD_HISTORY].read().first()["rows_loaded"] == 2
