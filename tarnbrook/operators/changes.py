@@ -21,23 +21,23 @@ def net_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFra
     return classify(old.join(new, keys, "full_outer"))
 
 
-def net_changes_between(log: DataFrame, keys: list[str], order: str, first: Column, second: Column,
+def net_changes_between(log: DataFrame, keys: list[str], order: list[str], first: Column, second: Column,
                         is_delete: Column) -> DataFrame:
     """Net changes between the states of an upsert log at two moments, in one pass.
 
-    Both states are the latest row per key up to ``first`` and up to ``second``;
+    ``order`` begins with the column the moments are about and is total per key. Both states are the latest row per key up to ``first`` and up to ``second``;
     taking them as two conditional aggregates of one grouping replaces two
     windows and a full outer join, and combines map-side.
     """
     rest = [c for c in log.columns if c not in keys]
     row = F.struct(F.struct(*rest).alias("row"), is_delete.alias("gone"))
-    moment = F.col(order)
+    moment, place = F.col(order[0]), F.struct(*order)
     states = (
         log.where(moment <= second)
         .groupBy(*keys)
         .agg(
-            F.max_by(F.when(moment <= first, row), F.when(moment <= first, moment)).alias("a"),
-            F.max_by(row, moment).alias("b"),
+            F.max_by(F.when(moment <= first, row), F.when(moment <= first, place)).alias("a"),
+            F.max_by(row, place).alias("b"),
         )
     )
 

@@ -231,16 +231,6 @@ FROM t FULL JOIN s ON t.user_id = s.user_id WHERE s.event_type IS DISTINCT FROM
 SELECT * FROM t UNION ALL SELECT * FROM facts f WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = f.id)""",
     "merge_metrics": f"""{_CORE_MERGE}
 SELECT *, inserted + updated + deleted AS rows_affected FROM ({_METRICS_CORE})""",
-    "audit_log": f"""{_CORE_MERGE},
-u_t AS ({_state(f"ts < {_CUT}")}), u_s AS ({_users(f"ts >= {_CUT}")}), {_FACTS},
-f_t AS (SELECT * FROM facts WHERE date_sk < 19980101)
-SELECT 'insert_into_core_table' AS task_id, 'core' AS target_table, 'MERGE' AS operation_type,
-       (SELECT inserted + updated + deleted FROM ({_METRICS_CORE})) AS rows_affected
-UNION ALL SELECT 'load_dim_users', 'dim_users', 'MERGE',
-       (SELECT count(*) FROM u_s LEFT JOIN u_t ON u_s.user_id = u_t.user_id
-        WHERE u_t.user_id IS NOT NULL OR u_s.event_type <> 'error')
-UNION ALL SELECT 'load_fact', 'fact', 'MERGE',
-       (SELECT count(*) FROM facts f WHERE NOT EXISTS (SELECT 1 FROM f_t WHERE f_t.id = f.id))""",
     "cdc_net_changes": f"{_NET} SELECT user_id, change, old_event, new_event FROM net",
     "cdc_snapshot_diff": f"{_NET} SELECT user_id, change, amount FROM net",
     "cdc_pairs": f"""{_NET}
@@ -253,14 +243,13 @@ FROM (
 )""",
     "stream_has_data": f"{_NET} SELECT count(*) > 0 AS has_data FROM net",
     "as_of_timestamp": f"WITH {_EVENTS} {_state(f'ts <= {_FIRST}')}",
-    "before_statement": f"""WITH {_EVENTS}
-{_state("ts < (SELECT max(ts) FROM events WHERE event_type = 'signup')")}""",
+    "before_statement": f"WITH {_EVENTS} {_state(f'ts <= {_FIRST}')}",
     "clone_as_of": f"WITH {_EVENTS} {_state(f'ts <= {_FIRST}')}",
     "table_after_changes": f"WITH {_EVENTS} {_state(f'ts <= {_SECOND}')}",
     "undrop": """
 SELECT user_id, event_type AS last_event, event_type <> 'error' AS live FROM events
 WHERE event_type IN ('error', 'signup')
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "secure_view": """
 SELECT * FROM (
   SELECT md5(CAST(o_orderkey AS VARCHAR)) AS id, o_custkey AS passenger_sk, o_orderkey AS flight_sk,

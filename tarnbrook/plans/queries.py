@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tarnbrook.functions.dates import date_parts, hours_before
 from tarnbrook.functions.keys import fact_id, flight_id
 from tarnbrook.functions.text import null_tokens
-from tarnbrook.operators.audit import audit_rows
 from tarnbrook.operators.changes import as_of, change_pairs, has_changes, net_changes, net_changes_between
 from tarnbrook.operators.dedupe import latest_per_key
 from tarnbrook.operators.lookup import find_hot_keys, lookup
@@ -322,14 +321,6 @@ def merge_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rows_affected(_core_merge(spark, folder).metrics())
 
 
-def audit_log(spark: SparkSession, folder: str) -> DataFrame:
-    return audit_rows([
-        ("insert_into_core_table", "core", "MERGE", _core_merge(spark, folder).metrics()),
-        ("load_dim_users", "dim_users", "MERGE", _scd1(spark, folder).metrics()),
-        ("load_fact", "fact", "MERGE", _fact_merge(spark, folder).metrics()),
-    ])
-
-
 # -- change capture and time travel ----------------------------------------------
 
 FIRST, SECOND = "2024-01-15 00:00:00", "2024-01-25 00:00:00"
@@ -341,7 +332,7 @@ def gone() -> Column:
 
 def _net(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder)
-    return net_changes_between(events, ["user_id"], "ts", moment(FIRST), moment(SECOND), gone())
+    return net_changes_between(events, ["user_id"], ["ts", "event_id"], moment(FIRST), moment(SECOND), gone())
 
 
 def cdc_net_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -375,10 +366,13 @@ def as_of_timestamp(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def before_statement(spark: SparkSession, folder: str) -> DataFrame:
-    """State just before the newest sign-up, that event taken as the statement."""
+    """State just before the statement that changed a table, found by the statement's id."""
+    table = LogTable(spark, scratch_path(spark, "users"), USERS)
     events = _events(spark, folder)
-    statement = events.where("event_type = 'signup'").agg(F.max("ts")).first()[0]
-    return as_of(events, ["user_id"], NEWEST, F.col("ts") < F.lit(statement).cast("timestamp_ntz"), gone()).select(*USERS.columns)
+    table.append(as_of(events, ["user_id"], NEWEST, F.col("ts") <= moment(FIRST), gone()))
+    changed = table.apply(change_pairs(_net(spark, folder), ["user_id"]))
+    table.compact()
+    return LogTable(spark, table.path, USERS).before(changed.statement_id)
 
 
 def clone_as_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -407,7 +401,7 @@ def table_after_changes(spark: SparkSession, folder: str) -> DataFrame:
 def undrop(spark: SparkSession, folder: str) -> DataFrame:
     """Names dropped by error events and brought back by sign-ups: the last of both counts."""
     events = _events(spark, folder).where(F.col("event_type").isin("error", "signup"))
-    return live_state(events, ["user_id"], "ts", "event_type", "error").select("user_id", "last_event", "live")
+    return live_state(events, ["user_id"], ["ts", "event_id"], "event_type", "error").select("user_id", "last_event", "live")
 
 
 # -- access and constraints --------------------------------------------------------
@@ -513,7 +507,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_literal": merge_literal,
     "merge_fact": merge_fact,
     "merge_metrics": merge_metrics,
-    "audit_log": audit_log,
     "cdc_net_changes": cdc_net_changes,
     "cdc_snapshot_diff": cdc_snapshot_diff,
     "cdc_pairs": cdc_pairs,

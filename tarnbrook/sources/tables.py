@@ -131,10 +131,12 @@ class LogTable:
         return max((c.version for c in self._commits if c.commit_ts <= moment), default=0)
 
     def version_before(self, statement_id: str) -> int:
-        found = [c.version for c in self._commits if c.statement_id == statement_id]
-        if not found:
+        """Version before a statement, found in the commit rows, which other processes may have added to."""
+        stated = self.commits().where(F.col("statement_id") == statement_id)
+        version = stated.agg(F.min("version")).first()[0]
+        if version is None:
             raise KeyError(f"{self.spec.name} has no statement {statement_id}")
-        return found[0] - 1
+        return version - 1
 
     def _commit(self, kind: str, **values) -> Commit:
         previous = self.head
@@ -297,9 +299,9 @@ def as_inserts(rows: DataFrame) -> DataFrame:
 _REGISTRY_SCHEMA = "table string, location string, event string, event_no long, event_ts timestamp"
 
 
-def live_state(events: DataFrame, keys: list[str], order: str, event: str, drop: str) -> DataFrame:
-    """Last event per name and whether the name is alive after it."""
-    last = events.groupBy(*keys).agg(F.max_by(event, order).alias("last_event"))
+def live_state(events: DataFrame, keys: list[str], order: list[str], event: str, drop: str) -> DataFrame:
+    """Last event per name in ``order`` (total per name) and whether the name is alive after it."""
+    last = events.groupBy(*keys).agg(F.max_by(event, F.struct(*order)).alias("last_event"))
     return last.withColumn("live", F.col("last_event") != drop)
 
 

@@ -109,7 +109,7 @@ def test_log_in_one_pass_equals_two_states(spark, rows):
     gone = F.col("v") == "error"
     a, b = (as_of(log, ["k"], ["t desc"], F.col("t") <= at, gone) for at in (4, 8))
     slow = net_changes(a, b, ["k"])
-    fast = net_changes_between(log, ["k"], "t", F.lit(4), F.lit(8), gone)
+    fast = net_changes_between(log, ["k"], ["t"], F.lit(4), F.lit(8), gone)
     assert rows(fast, "k", "change", "old.t", "new.t") == rows(slow, "k", "change", "old.t", "new.t")
 
 

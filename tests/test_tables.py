@@ -147,7 +147,7 @@ def test_names_drop_undrop_and_clone(spark, tmp_path, rows):
 
 def test_live_state(spark, rows):
     events = spark.createDataFrame([("t", 1, "CREATE"), ("t", 2, "DROP"), ("t", 3, "UNDROP"), ("u", 1, "CREATE"), ("u", 4, "DROP")], "name string, n int, event string")
-    assert rows(live_state(events, ["name"], "n", "event", "DROP")) == [("t", "UNDROP", True), ("u", "DROP", False)]
+    assert rows(live_state(events, ["name"], ["n"], "event", "DROP")) == [("t", "UNDROP", True), ("u", "DROP", False)]
 
 
 def test_audit_records_and_lets_errors_through(spark, tmp_path, table):

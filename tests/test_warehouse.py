@@ -5,11 +5,13 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tarnbrook.plans.warehouse import Warehouse
+from tarnbrook.operators.audit import AuditTrail
+from tarnbrook.plans.warehouse import Warehouse, key_range
 from tarnbrook.schemas import (
     AUDIT, CORE, DIM_AIRPORT, DIM_DATE, DIM_FLIGHT, DIM_PASSENGER, DIMENSIONS, FACT, LOAD_HISTORY,
     FACT_QUARANTINE, MART_QUARANTINE, QUARANTINE, RAW, RAW_COLUMNS,
 )
+from tarnbrook.sources.tables import LogTable
 from tarnbrook.streaming.incremental import load_stream
 
 HEADER = ",Passenger ID,First Name,Last Name,Gender,Age,Nationality,Airport Name,Airport Country Code,Country Name," \
@@ -335,3 +337,35 @@ def test_a_stream_loads_line_breaks_in_quotes(spark, tmp_path):
     load_stream(warehouse, str(tmp_path / "in"), str(tmp_path / "offsets"))
     assert warehouse[CORE].read().where("index_col = 0").first()["first_name"] == "two\nlines"
     assert warehouse[LOAD_HISTORY].read().first()["rows_loaded"] == 2
+
+
+def test_a_lost_audit_row_is_added_by_the_next_process(spark, tmp_path, monkeypatch, rows):
+    put(tmp_path / "in", "a.csv", [line(n) for n in range(3)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    monkeypatch.setattr(AuditTrail, "flush", lambda self: None)
+    warehouse.advance()
+    monkeypatch.undo()
+    assert warehouse[AUDIT].rows == 0
+    for _ in range(2):
+        again = Warehouse(spark, str(tmp_path / "db"))
+        again.advance()
+        log = again[AUDIT].read()
+        assert rows(log, "log_id") == [(n,) for n in range(1, 7)]
+        assert {(r["task_id"], r["rows_affected"]) for r in log.collect()} == {
+            ("insert_into_core_table", 3), ("load_dim_passenger", 3), ("load_dim_airport", 3), ("load_dim_flight", 3),
+            ("load_dim_date", 3), ("load_fact_flight_passenger", 3),
+        }
+
+
+def test_a_merge_reads_only_the_range_of_its_keys(spark, tmp_path, capsys):
+    target = LogTable(spark, str(tmp_path / "core"), CORE)
+    for first in (0, 1000, 2000):
+        target.append(spark.range(first, first + 500).selectExpr("id as index_col", *[f"cast(null as {t.simpleString()}) as {c}" for c, t in CORE.columns.items() if c != "index_col"]))
+    source = spark.range(2100, 2200).withColumnRenamed("id", "index_col")
+    near = key_range(target.read(), source, CORE)
+    near.explain("formatted")
+    assert "GreaterThanOrEqual(index_col,2100), LessThanOrEqual(index_col,2199)" in capsys.readouterr().out
+    assert near.count() == 100
+    flights = spark.createDataFrame([], DIM_FLIGHT.schema)
+    assert key_range(flights, flights, DIM_FLIGHT) is flights  # hashed keys have no range
