@@ -32,13 +32,10 @@ from pyspark.sql import DataFrame
 
 # Fixed value: how byte-level BPE splits a text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 PAIRS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
-#: Ids as decimals joined by commas, and as 32-bit numbers.
-Listed = tuple[str, bytes]
-
 
 def _byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in the vocabulary file."""
@@ -98,9 +95,10 @@ class PrefixBpe:
         self.whole = {token: i for token, i in self.ids.items() if self._stays(token, i)}
         self.automaton = ahocorasick.Automaton()
         for token, i in self.whole.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
+            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, i))
         self.automaton.make_automaton()
         self.words, self.parts = Memory(), Memory()
+        self.decimals = [str(i) for i in range(self.size)]
 
     def _stays(self, token: bytes, i: int) -> bool:
         """The merges turn the token's bytes into just it; in ordered merges, if no pair at the seam of its two parts comes first."""
@@ -153,13 +151,13 @@ class PrefixBpe:
         if whole is not None:
             return [whole]
         known, compatible, size = self.fits.get, self.compatible, self.size
-        last, begin = [-1] * (len(data) + 1), [0] * (len(data) + 1)
-        for end, (length, token) in self.automaton.iter(data.decode("latin-1")):
-            end += 1
+        # By the place of its last byte: the last token of each prefix, and where that token begins.
+        last, begin = [-1] * len(data), [0] * len(data)
+        for end, (less, token) in self.automaton.iter(data.decode("latin-1")):
             if last[end] < 0:
-                start = end - length
+                start = end - less
                 if start:
-                    before = last[start]
+                    before = last[start - 1]
                     if before < 0:
                         continue
                     fit = known(before * size + token)
@@ -169,65 +167,70 @@ class PrefixBpe:
                 begin[end] = start
         out, at = [], len(data)
         while at:
-            out.append(last[at])
-            at = begin[at]
+            out.append(last[at - 1])
+            at = begin[at - 1]
         out.reverse()
         return out
 
-    def _pieces(self, words: str) -> Listed:
+    def _pieces(self, words: str) -> list[int]:
+        parts, pieces = self.parts, PIECES.findall(words)
+        if len(pieces) == 1:
+            # The word's own memory has it.
+            return self.piece(pieces[0].encode())
         ids: list[int] = []
-        parts = self.parts
-        for piece in PIECES.findall(words):
+        for piece in pieces:
             found = parts.young.get(piece)
             if found is None:
                 found = parts.old.get(piece) or self.piece(piece.encode())
                 parts.keep(piece, found)
             ids += found
-        return ",".join(map(str, ids)), array("i", ids).tobytes()
+        return ids
 
-    def _word(self, word: str) -> Listed:
+    def _word(self, word: str) -> list[int]:
         """A word and the space before it, not among the young ones."""
-        found = self.words.old.get(word) or self._pieces(" " + word)
+        found = self.words.old.get(word)
+        if found is None:
+            found = self._pieces(" " + word)
         self.words.keep(word, found)
         return found
 
-    def _plain(self, text: str) -> Iterator[Listed]:
-        """Text without special tokens."""
-        words, memory = text.split(" "), self.words
+    def _plain(self, text: str, ids: list[int]) -> None:
+        """Ids of text without special tokens, added to ``ids``."""
+        words, memory, word_ids = text.split(" "), self.words, self._word
         # The first word has no space before it; white space waits for the word that ends it.
         waiting: list[str] = words[:1]
         if words[0] and not words[0][-1].isspace():
-            yield self._pieces(words[0])
+            ids += self._pieces(words[0])
             waiting = []
         for word in words[1:]:
             if not waiting:
                 found = memory.young.get(word)
                 if found is not None:
-                    yield found
+                    ids += found
                 elif word and not word[-1].isspace():
-                    yield self._word(word)
+                    ids += word_ids(word)
                 else:
                     waiting = ["", word]
             else:
                 waiting.append(word)
                 if word and not word[-1].isspace():
-                    yield self._pieces(" ".join(waiting))
+                    ids += self._pieces(" ".join(waiting))
                     waiting = []
         if waiting:
-            yield self._pieces(" ".join(waiting))
+            ids += self._pieces(" ".join(waiting))
 
-    def encode_listed(self, text: str) -> Listed:
-        """The ids as decimals joined by commas, and as 32-bit numbers."""
-        found: list[Listed] = []
+    def encode(self, text: str) -> list[int]:
+        ids: list[int] = []
         for part in self.cut.split(text) if self.cut and any(s in text for s in self.special) else (text,):
             if part in self.special:
-                found.append((str(self.special[part]), np.int32(self.special[part]).tobytes()))
+                ids.append(self.special[part])
             else:
-                found += self._plain(part)
-        return ",".join([f[0] for f in found if f[0]]), b"".join([f[1] for f in found])
+                self._plain(part, ids)
+        return ids
 
-    def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encode_listed(text)[1], dtype=np.int32).tolist()
+    def listed(self, ids: list[int]) -> str:
+        """Decimals joined by commas."""
+        return ",".join(map(self.decimals.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
@@ -238,9 +241,9 @@ def encoder(path: str) -> PrefixBpe:
     return PrefixBpe(path)
 
 
-def _lists(ids: list[bytes]) -> pa.Array:
+def _lists(ids: list[array]) -> pa.Array:
     """Arrow lists of rows of 32-bit numbers."""
-    ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
 
 
@@ -256,7 +259,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for part in _parts(batches):
-            ids = [bpe.encode_listed(t.as_py() or "")[1] for t in part.column("text")]
+            ids = [array("i", bpe.encode(t.as_py() or "")) for t in part.column("text")]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids)], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -280,14 +283,16 @@ def _report(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
         bpe = encoder(path)
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for part in _parts(batches):
-            ids, listed_sha, decoded_sha = [], [], []
+            kept, counts, listed_sha, decoded_sha = [], [], [], []
             for text in part.column("text"):
-                listed, numbers = bpe.encode_listed(text.as_py() or "")
-                ids.append(numbers)
-                listed_sha.append(sha(listed))
-                decoded_sha.append(sha(bpe.decode(np.frombuffer(numbers, dtype=np.int32).tolist())))
-            columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64())}
-            columns |= {"ids": _lists(ids)} if with_ids else {}
+                ids = bpe.encode(text.as_py() or "")
+                counts.append(len(ids))
+                listed_sha.append(sha(bpe.listed(ids)))
+                decoded_sha.append(sha(bpe.decode(ids)))
+                if with_ids:
+                    kept.append(array("i", ids))
+            columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(counts, pa.int64())}
+            columns |= {"ids": _lists(kept)} if with_ids else {}
             columns |= {"ids_sha256": pa.array(listed_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
 
