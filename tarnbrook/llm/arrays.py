@@ -50,31 +50,19 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
 
 
 def byte_table(separators: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(is a word byte, random word value of a byte), with A-Z valued as a-z if ``lower``."""
+    """(is a word byte, what a byte reads as), with A-Z read as a-z if ``lower``."""
     inside = np.ones(256, dtype=bool)
     inside[list(separators)] = False
-    values = mix(np.arange(1, 257, dtype=np.uint64), 41)
+    read = np.arange(256, dtype=np.uint8)
     if lower:
-        values[65:91] = values[97:123]
-    values[~inside] = 0
-    return inside, values
+        read[65:91] += 32
+    return inside, read
 
 
 SPACE = bytes([0x20, 9, 10, 11, 12, 13])
 SPACED = byte_table(SPACE, lower=False)
 SPACED_LOWER = byte_table(SPACE, lower=True)
 
-_powers = np.ones(1, dtype=np.uint64)
-
-
-def _power(length: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < length:
-        size = max(1024, 2 * length)
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.full(size, 0xD6E8FEB86659FD93, dtype=np.uint64), dtype=np.uint64)
-    return _powers
-
 
 @dataclass
 class Words:
@@ -89,9 +77,34 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words(data: np.ndarray, offsets: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> Words:
-    """Maximal runs of word bytes that do not cross a row, hashed by value and position."""
-    inside, values = table
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(8)] + [0xFFFFFFFFFFFFFFFF], dtype=np.uint64)
+_STEP, _LENGTH = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+
+def word_hashes(read: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each byte range of ``read``: its 8-byte blocks, mixed each with its place, and its length.
+
+    Every block goes through the finaliser before the blocks are added up, so no
+    arrangement of letters cancels out.
+    """
+    padded = np.concatenate((read, np.zeros(8, dtype=np.uint8)))
+    block_at = np.ndarray(len(read) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    with np.errstate(over="ignore"):
+        sums = mix((block_at[starts] & _KEPT[np.minimum(lengths, 8)]) + _STEP)
+        long = np.flatnonzero(lengths > 8)
+        if len(long):
+            more = (lengths[long] - 1) >> 3
+            offsets = np.cumsum(more) - more
+            place = np.arange(int(more.sum())) - np.repeat(offsets, more) + 1
+            left = np.repeat(lengths[long], more) - 8 * place
+            block = block_at[np.repeat(starts[long], more) + 8 * place] & _KEPT[np.minimum(left, 8)]
+            sums[long] += np.add.reduceat(mix(block + _STEP * (place + 1).astype(np.uint64)), offsets)
+        return mix(sums + lengths.astype(np.uint64) * _LENGTH)
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first word of each row and their number) of the maximal runs of word bytes that do not cross a row."""
     mask = inside[data]
     n = len(data)
     begins = mask.copy()
@@ -105,17 +118,16 @@ def words(data: np.ndarray, offsets: np.ndarray, table: tuple[np.ndarray, np.nda
         inner = row_starts[row_starts > 0]
         stops[inner] = mask[inner - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-    first = np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> Words:
+    """The words of a chunk with their hashes."""
+    inside, read = table
+    starts, ends, first = word_places(data, offsets, inside)
     if not len(starts):
         return Words(starts, ends, np.zeros(0, np.uint64), first)
-    lengths = np.diff(np.append(starts, n))
-    place = np.arange(starts[0], n) - np.repeat(starts, lengths)
-    with np.errstate(over="ignore"):
-        terms = values[data[starts[0] :]]
-        # What stands between two words has the value 0.
-        terms *= _power(int(lengths.max()))[place]
-        sums = np.add.reduceat(terms, starts - starts[0])
-        return Words(starts, ends, mix(sums), first)
+    return Words(starts, ends, word_hashes(read[data], starts, ends), first)
 
 
 _ODD = mix(np.arange(64, dtype=np.uint64), 7) | np.uint64(1)

@@ -22,11 +22,11 @@ Other columns than doc_id, text and lang are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,8 @@ LEAST_RATIO = 0.1
 FOLDS = 5
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters are the characters of Unicode category L.
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
 _FOLD[65:91] = np.arange(97, 123)
@@ -164,10 +165,10 @@ def learn(docs: DataFrame) -> Filter:
     return Filter(languages, min(languages, key=lambda name: (-rows[name], name)), held)
 
 
-def identify(docs: DataFrame, model: Filter) -> DataFrame:
-    """All columns of ``docs`` plus ``lang_pred`` and ``lang_score``."""
+def identify(docs: DataFrame, model: Filter, pred: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """All columns of ``docs`` plus ``pred`` and ``score``; columns of these names are replaced."""
     shared: Broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    taken = [c for c in docs.columns if c not in ("lang_pred", "lang_score")]
+    taken = [c for c in docs.columns if c not in (pred, score)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Filter = shared.value
@@ -186,9 +187,9 @@ def identify(docs: DataFrame, model: Filter) -> DataFrame:
                         names.append(known.languages[best[k - first]] if value > 0 else known.common)
                         scores.append(value)
             arrays = [batch.column(c) for c in taken] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*taken, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*taken, pred, score])
 
-    schema = docs.select(*taken).withColumn("lang_pred", F.lit("")).withColumn("lang_score", F.lit(0.0)).schema
+    schema = docs.select(*taken).withColumn(pred, F.lit("")).withColumn(score, F.lit(0.0)).schema
     return docs.select(*taken).mapInArrow(run, schema)
 
 
@@ -207,6 +208,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
     Texts too short to tell stay.
     """
-    found = identify(docs, learn(docs.where(~held_out())))
-    foreign = (F.col("lang_score") < REJECT_BELOW) & (F.length("text") >= EVIDENCE)
-    return found.where((F.col("lang_pred") != UNKNOWN) & ~foreign).select(*docs.columns)
+    free = "_" * (1 + max((len(c) for c in docs.columns), default=0))
+    pred, score = f"{free}pred", f"{free}score"
+    found = identify(docs, learn(docs.where(~held_out())), pred, score)
+    foreign = (F.col(score) < REJECT_BELOW) & (F.length("text") >= EVIDENCE)
+    return found.where((F.col(pred) != UNKNOWN) & ~foreign).select(*docs.columns)

@@ -10,6 +10,7 @@ the next level, so a key lies in few files and old rows are rewritten rarely.
 
 Documents are told apart by doc_id: rows that share one count as one document.
 Rows without doc_id are neither counted nor changed. A null text is one empty line.
+An empty table gives an empty result; other columns pass through unread.
 Hot lines are summed before the shuffle; a join with them is split by AQE.
 """
 
@@ -132,7 +133,15 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with the other lines only; ``n_chars``, where there is one, counts the new text."""
+    """``docs`` (all columns) with the other lines only; ``n_chars``, where there is one, counts the new text.
+
+    The caller's other columns travel as one struct, so that none can clash.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    numbered = {c: f"c{i}" for i, c in enumerate(others)}
+    held = [F.col(f"`{c}`").alias(n) for c, n in numbered.items()] or [F.lit(0).alias("c0")]
+    carried = docs.select("doc_id", "text", F.struct(*held).alias("others"))
     text = F.when(F.col("text").isNotNull(), F.col("_kept"))
-    changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return drop_repeated_lines(docs).select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    changed = {"doc_id": F.col("doc_id"), "text": text}
+    changed |= {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return drop_repeated_lines(carried).select(*[(changed[c] if c in changed else F.col("others").getField(numbered[c])).alias(c) for c in docs.columns])

@@ -14,13 +14,15 @@ ROOT = Path(__file__).resolve().parents[2]
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the session, unless the workers' path has it already.
+    """Add the package to the session, unless the workers share the driver's folders and path.
 
     Spark's own file server hands the archive to the executors, as for any
-    ``--py-files``; nothing else is read from the driver's folder.
+    ``--py-files``; nothing else is read from the driver's folder. On a cluster that is
+    always done: what the driver can import says nothing about other machines.
     """
     context = spark.sparkContext
-    reachable = str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == ROOT
+    local = context.master == "local" or context.master.startswith("local[")
+    reachable = local and (str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == ROOT)
     if reachable or getattr(context, "_tarnbrook_shipped", False):
         return
     archive = Path(tempfile.mkdtemp(prefix="tarnbrook-package-")) / "tarnbrook_package.zip"

@@ -18,8 +18,9 @@ other words of a document are joined with the counts by hash. Words are 64-bit
 hashes. A join key of that tail is a rare word, so none is hot.
 
 Whole texts are scored; a null text is an empty one (one end token). Rows without
-doc_id are scored but never learned from. Repeated rows are rows of their own.
-Without training rows every count is 0. Other columns are not read.
+doc_id are scored but never learned from. Repeated rows are rows of their own. An
+empty table gives an empty result. Weights are averaged over tasks, so scores depend,
+a little, on how many tasks read the texts; base scores don't. Without training rows every count is 0. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnbrook.llm.arrays import SPACED_LOWER, chunks, mix, words
+from tarnbrook.llm.arrays import SPACED_LOWER, chunks, mix, word_places, words
 from tarnbrook.session import materialize
 
 CLASSES = 32
@@ -59,18 +60,34 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_FOLD, F.lit(False))
 
 
+def _classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A word's class, from its last two bytes."""
+    if not len(ends):
+        return np.zeros(0, np.int16)
+    last = _LOWER[data[ends - 1]]
+    before = np.where(ends - starts > 1, _LOWER[data[np.maximum(ends - 2, 0)]], np.uint64(0))
+    return (1 + mix(last + np.uint64(256) * before, 12) % np.uint64(CLASSES - 1)).astype(np.int16)
+
+
+def _with_ends(values: np.ndarray, first: np.ndarray, end: int | np.unsignedinteger) -> np.ndarray:
+    """One value per word, and ``end`` after each row's words."""
+    rows = len(first) - 1
+    out = np.full(len(values) + rows, end, dtype=values.dtype)
+    out[np.arange(len(values)) + np.repeat(np.arange(rows), np.diff(first))] = values
+    return out
+
+
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, class, number per row) of all tokens of a chunk; each row ends with the end token."""
     w = words(data, offsets, SPACED_LOWER)
-    last = _LOWER[data[w.ends - 1]] if len(w.ends) else np.zeros(0, np.uint64)
-    before = np.where(w.ends - w.starts > 1, _LOWER[data[np.maximum(w.ends - 2, 0)]], np.uint64(0)) if len(w.ends) else last
-    kind = (1 + mix(last + np.uint64(256) * before, 12) % np.uint64(CLASSES - 1)).astype(np.int16)
-    rows = len(offsets) - 1
-    place = np.arange(len(w.hashes)) + w.row_of()
-    hashes = np.full(len(w.hashes) + rows, _END_HASH, dtype=np.uint64)
-    kinds = np.full(len(w.hashes) + rows, END, dtype=np.int16)
-    hashes[place], kinds[place] = w.hashes, kind
-    return hashes, kinds, np.diff(w.first) + 1
+    kinds = _classes(data, w.starts, w.ends)
+    return _with_ends(w.hashes, w.first, _END_HASH), _with_ends(kinds, w.first, END), np.diff(w.first) + 1
+
+
+def token_classes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The classes of ``tokens`` alone, which need no hashes."""
+    starts, ends, first = word_places(data, offsets, SPACED_LOWER[0])
+    return _with_ends(_classes(data, starts, ends), first, END)
 
 
 # The network
@@ -225,7 +242,7 @@ def _local_training(shared, rate: float):
         held, seen, memory = [], 0, None
         for batch in batches:
             for _, _, data, offsets in chunks(batch):
-                held.append(tokens(data, offsets)[1])
+                held.append(token_classes(data, offsets))
                 if sum(map(len, held)) >= TRAINED_AT_ONCE:
                     memory = train(w, np.concatenate(held), rate, memory)
                     seen += sum(map(len, held))

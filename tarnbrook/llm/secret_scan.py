@@ -9,8 +9,9 @@ propagation). A literal is scored by the words of its target name and by how
 random it looks; those that pass become spans of kind ``lexed``, at the literal
 itself. A literal that lies in a base span of the same text is not added again.
 
-Texts are scanned whole. A null text is an empty one. Repeated rows are scanned
-each on their own. Other columns than doc_id and text are not read.
+Texts are scanned whole, in time that grows with their length. A null text is an
+empty one. Repeated rows are scanned each on their own, an empty table gives an empty
+result. Other columns than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,6 +53,15 @@ _BARE_NAME = re.compile(r"[A-Za-z_][\w.]*")
 _BARE_VALUE = re.compile(r"""[^\s"'#;,(){}\[\]]+(?=[ \t]*(?:[#;].*)?$)""", re.MULTILINE)
 _BLANKS = re.compile(r"[ \t]*")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.)[ \t]*(?:\\?\n[ \t]*)?|[ \t]+(?=[\"'])")
+_LINE_START = re.compile(r"""\s*(?:export\s+|set\s+|-\s+)?["']*""")
+#: Letters kept of a value's beginning and end, enough for every placeholder pattern.
+_EDGE = 16
+_HUGE = 1e12
+_RUN = re.compile(r"(?i)x+\Z|\*+\Z|\.+\Z")
+_LETTER_KINDS = (
+    lambda c: "a" <= c <= "z", lambda c: "A" <= c <= "Z", lambda c: "0" <= c <= "9",
+    lambda c: not ("a" <= c <= "z" or "A" <= c <= "Z" or "0" <= c <= "9"),
+)
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 Span = tuple[str, int, int]
@@ -70,52 +82,84 @@ def ordered(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def entropy(value: str) -> float:
-    """Bits per character of the value's own letter counts."""
-    counts = Counter(value).values()
-    return -sum(c / len(value) * math.log2(c / len(value)) for c in counts)
-
-
 def name_score(name: str) -> int:
     parts = [p.lower() for p in _PARTS.findall(name)]
     whole = [*parts, *(a + b for a, b in zip(parts, parts[1:], strict=False))]
     return sum(NAME_SCORES.get(p, 0) for p in whole)
 
 
-def literal_score(value: str) -> float:
-    if len(value) < LEAST_LITERAL or " " in value or PLACEHOLDER.match(value):
-        return -10.0
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
-    return 0.5 * (kinds - 1) + (1.0 if entropy(value) >= 3 else 0.0)
-
-
-def pairs(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
-    """(name, value, places of its literals) for every assignment, constants propagated."""
-    bound: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+class Value:
+    """What a name is bound to: literals and earlier values end to end, known by their letters and not built.
+
+    Every value refers to its parts once, so a text's values take space in proportion
+    to the text however often constants are repeated and joined.
+    """
+
+    __slots__ = ("length", "letters", "head", "tail", "parts", "place")
+
+    def __init__(self, parts: list[Value], place: tuple[int, int] | None = None, literal: str = ""):
+        self.parts, self.place = parts, place
+        if len(parts) == 1:
+            only = parts[0]
+            self.length, self.letters, self.head, self.tail = only.length, only.letters, only.head, only.tail
+        elif parts:
+            self.length = sum(p.length for p in parts)
+            self.letters = Counter()
+            for p in parts:
+                self.letters.update(p.letters)
+            self.head, self.tail = "", ""
+            for p in parts:
+                self.head = (self.head + p.head)[:_EDGE] if len(self.head) < _EDGE else self.head
+                self.tail = (self.tail + p.tail)[-_EDGE:]
+            if self.length > _HUGE:
+                # Only shares count from here on, so the numbers stay short.
+                shrink = _HUGE / self.length
+                self.length, self.letters = _HUGE, Counter({c: n * shrink for c, n in self.letters.items()})
+        else:
+            self.length, self.letters, self.head, self.tail = len(literal), Counter(literal), literal[:_EDGE], literal[-_EDGE:]
+
+    def score(self) -> float:
+        """How random the value looks; no value for one that is short, spaced or a placeholder."""
+        if self.length < LEAST_LITERAL or " " in self.letters:
+            return -10.0
+        # A placeholder is told by its ends, or by being one letter over and over.
+        shown = self.head + self.tail if self.length > _EDGE else self.head
+        if PLACEHOLDER.match(shown) and (not _RUN.match(shown) or len({c.lower() for c in self.letters}) == 1):
+            return -10.0
+        kinds = sum(any(test(c) for c in self.letters) for test in _LETTER_KINDS)
+        entropy = -sum(n / self.length * math.log2(n / self.length) for n in self.letters.values())
+        return 0.5 * (kinds - 1) + (1.0 if entropy >= 3 else 0.0)
+
+
+def pairs(text: str) -> Iterator[tuple[str, Value]]:
+    """(name, value) for every assignment, constants propagated."""
+    bound: dict[str, Value] = {}
+    line = 0
     for sign in _SIGN.finditer(text):
+        line = max(line, text.rfind("\n", line, sign.start()) + 1)
         name = _NAME_BEFORE.search(text, max(0, sign.start() - 120), sign.start())
         if not name or text[sign.end() : sign.end() + 1] == "=":
             continue
-        value, places, at = "", [], _BLANKS.match(text, sign.end()).end()
+        parts, at = [], _BLANKS.match(text, sign.end()).end()
         while True:
             if m := _QUOTED.match(text, at):
                 group = 1 if m[1] is not None else 2
-                value, places, at = value + m[group], [*places, m.span(group)], m.end()
+                parts.append(Value([], m.span(group), m[group]))
+                at = m.end()
             elif (m := _BARE_NAME.match(text, at)) and m[0] in bound:
-                more = bound[m[0]]
-                value, places, at = value + more[0], places + more[1], m.end()
+                parts.append(bound[m[0]])
+                at = m.end()
             else:
                 # A bare value counts where the assignment is alone on its line.
-                line = text.rfind("\n", 0, sign.start()) + 1
-                if not places and (m := _BARE_VALUE.match(text, at)) and re.fullmatch(r"\s*(?:export\s+|set\s+|-\s+)?", text[line : max(line, name.start(1))].rstrip("\"'")):
-                    value, places = m[0], [m.span()]
+                if not parts and _LINE_START.fullmatch(text, line, max(line, name.start(1))) and (m := _BARE_VALUE.match(text, at)):
+                    parts.append(Value([], m.span(), m[0]))
                 break
             if not (joined := _JOIN.match(text, at)) or not joined[0]:
                 break
             at = joined.end()
-        if places:
-            bound[name[1]] = (value, places)
-            yield name[1], value, places
+        if parts:
+            bound[name[1]] = value = Value(parts)
+            yield name[1], value
 
 
 def lexed_spans(text: str, base: list[Span]) -> list[Span]:
@@ -123,12 +167,23 @@ def lexed_spans(text: str, base: list[Span]) -> list[Span]:
     low = text.lower()
     if not any(stem in low for stem in NAME_STEMS):
         return []
-    found = set()
-    for name, value, places in pairs(text):
+    waiting = []
+    for name, value in pairs(text):
         score = name_score(name)
-        if score and score + literal_score(value) >= PASSING_SCORE:
-            found.update(p for p in places if p[1] > p[0] and not any(s <= p[0] and p[1] <= e for _, s, e in base))
-    return [("lexed", s, e) for s, e in found]
+        if score and score + value.score() >= PASSING_SCORE:
+            waiting.append(value)
+    # From the values that pass down to their literals, each met once.
+    found, seen = set(), set()
+    while waiting:
+        value = waiting.pop()
+        if id(value) not in seen:
+            seen.add(id(value))
+            waiting += value.parts
+            if value.place:
+                found.add(value.place)
+    starts, reach = [s for _, s, _ in base], list(accumulate((e for _, _, e in base), max))
+    held = lambda s, e: (k := bisect_right(starts, s)) and reach[k - 1] >= e
+    return [("lexed", s, e) for s, e in found if e > s and not held(s, e)]
 
 
 def listed(spans: list[Span]) -> str:
