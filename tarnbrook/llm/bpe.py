@@ -99,6 +99,7 @@ class PrefixBpe:
         self.automaton.make_automaton()
         self.words, self.parts = Memory(), Memory()
         self.decimals = [str(i) for i in range(self.size)]
+        self.spelled = [self.token.get(i, b"") for i in range(self.size)]
 
     def _stays(self, token: bytes, i: int) -> bool:
         """The merges turn the token's bytes into just it; in ordered merges, if no pair at the seam of its two parts comes first."""
@@ -188,6 +189,18 @@ class PrefixBpe:
 
     def _word(self, word: str) -> list[int]:
         """A word and the space before it, not among the young ones."""
+        if word.isascii():
+            # Plain letters are one piece, and a mark behind them is another; such words are remembered without it.
+            if not word[-1].isalnum() and word[:-1].isalpha():
+                stem = word[:-1]
+                found = self.words.young.get(stem)
+                return (found or self._word(stem)) + self.piece(word[-1].encode())
+            if word.isalpha():
+                found = self.words.old.get(word)
+                if found is None:
+                    found = self.piece(b" " + word.encode())
+                self.words.keep(word, found)
+                return found
         found = self.words.old.get(word)
         if found is None:
             found = self._pieces(" " + word)
@@ -233,7 +246,7 @@ class PrefixBpe:
         return ",".join(map(self.decimals.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
+        return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(2)
