@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 # Fixed value: how byte-level BPE splits a text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 PAIRS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
@@ -101,6 +101,11 @@ class PrefixBpe:
         self.decimals = [str(i) for i in range(self.size)]
         self.spelled = [self.token.get(i, b"") for i in range(self.size)]
 
+    def forget(self) -> None:
+        """Free what was remembered, so that a worker that waits for other work holds no more than the tables."""
+        self.words, self.parts = Memory(), Memory()
+        self.fits.clear()
+
     def _stays(self, token: bytes, i: int) -> bool:
         """The merges turn the token's bytes into just it; in ordered merges, if no pair at the seam of its two parts comes first."""
         if not self.ordered:
@@ -274,6 +279,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         for part in _parts(batches):
             ids = [array("i", bpe.encode(t.as_py() or "")) for t in part.column("text")]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids)], names=["doc_id", "ids"])
+        bpe.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -308,6 +314,7 @@ def _report(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
             columns |= {"ids": _lists(kept)} if with_ids else {}
             columns |= {"ids_sha256": pa.array(listed_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
+        bpe.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_tokens long, {'ids array<int>, ' if with_ids else ''}ids_sha256 string, decoded_sha256 string")
 
