@@ -141,4 +141,70 @@ SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
 FROM beside
 """
 
-NEW_ORACLES = {"op11_ranked_search": SEARCH_SQL, "op12_fingerprints": FINGERPRINT_SQL, "op13_merkle_manifest": manifest_sql()}
+def _components(node: str) -> str:
+    """``reach``: all (node, other) that links (a, b) connect, each node with itself."""
+    return f"""reach AS (
+  SELECT {node} AS node, {node} AS other FROM nodes
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+)"""
+
+
+VECTOR_SQL = f"""
+WITH RECURSIVE nodes AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE vec_id IS NOT NULL
+), usable AS MATERIALIZED (
+  SELECT * FROM nodes
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), {_components('vec_id')}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM nodes
+JOIN (SELECT node AS vec_id, min(other) AS component_id FROM reach GROUP BY node) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+
+JACCARD_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({lowered("coalesce(text, '')")}, '{_WORD}') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)
+), nodes AS MATERIALIZED (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n FROM words LEFT JOIN (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id) USING (doc_id)
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN nodes x ON x.doc_id = a JOIN nodes y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), {_components('doc_id')}
+SELECT doc_id, n AS n_shingles, component_id
+FROM nodes JOIN (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
+
+PASSAGE_SQL = f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), places AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 12 <= len(w) THEN array_to_string(list_slice(w, i, i + 12), ' ') END AS v
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM words WHERE len(w) > 0)
+), judged AS (
+  SELECT doc_id, i, word, v IS NOT NULL AND min(doc_id) OVER (PARTITION BY v) < doc_id AS known FROM places
+), covered AS (
+  SELECT doc_id, i, word, bool_or(known) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM judged
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id
+) USING (doc_id)
+"""
+
+NEW_ORACLES = {
+    "op3_near_vectors": VECTOR_SQL,
+    "op5_jaccard_join": JACCARD_SQL,
+    "op8_substring_dedup": PASSAGE_SQL,
+    "op11_ranked_search": SEARCH_SQL,
+    "op12_fingerprints": FINGERPRINT_SQL,
+    "op13_merkle_manifest": manifest_sql(),
+}
