@@ -7,13 +7,17 @@ with one space around each word); each document is normalised and scanned once,
 and every match is mapped to the words, and through their places to the original
 text. Overlapping matches all count.
 
-The benchmark's bytes are summed first: up to ``AUTOMATON_BYTES`` of windows make
-one automaton; a larger benchmark is dealt to several of that size, which the same
-task applies one after the other, so no broadcast grows past the bound.
-
-Null texts have no words and are never hit. Items without words have no window.
-Items are told apart by item_id; items without one are left out. Other columns
-than the ids and texts are not read.
+Spark spells the windows, joins equal ones and sums their bytes: up to
+``AUTOMATON_BYTES`` make one automaton; those of a larger benchmark are dealt by hash
+to several of about that size, one at a time on the driver, so that neither it nor a
+broadcast holds the whole. A task applies them one after the other to ``HELD_BYTES``
+of texts, and so builds each automaton once for these and not once a batch.
+
+Null texts have no words and are never hit; an empty table of documents gives an empty
+result, an empty benchmark hits nothing. Texts of any length are scanned whole. Rows
+are judged one by one, so repeated ones have the same result and a null doc_id is
+kept. Items without words have no window. Items are told apart by item_id; items
+without one are left out. Other columns than the ids and texts are not read.
 """
 
 from __future__ import annotations
@@ -22,15 +26,20 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tarnbrook.session import materialize
 
 WINDOW = 13
 AUTOMATON_BYTES = 16 << 20
+HELD_BYTES = 32 << 20
 
 # Fixed value: what each byte becomes; separators become spaces.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else 32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
@@ -41,42 +50,41 @@ def normal_words(text: str) -> list[bytes]:
     return text.encode().translate(_TABLE).split()
 
 
-def windows(items: Iterator[tuple[int, str]], size: int = WINDOW) -> dict[bytes, set[int]]:
-    """Spelled window -> items that hold it."""
-    found: dict[bytes, set[int]] = {}
-    for item, text in items:
-        parts = normal_words(text)
-        for i in range(max(1, len(parts) - size + 1) if parts else 0):
-            found.setdefault(b" " + b" ".join(parts[i : i + size]) + b" ", set()).add(item)
-    return found
+def windows(text: str, size: int = WINDOW) -> set[bytes]:
+    """The spelled windows of an item."""
+    parts = normal_words(text)
+    return {b" " + b" ".join(parts[i : i + size]) + b" " for i in range(max(1, len(parts) - size + 1) if parts else 0)}
 
 
-def _dealt(found: dict[bytes, set[int]], limit: int) -> Iterator[list[tuple[str, int, tuple[int, ...]]]]:
-    part, used = [], 0
-    for key, items in found.items():
-        part.append((key.decode("latin-1"), key.count(b" ") - 1, tuple(sorted(items))))
-        used += len(key) + 8 * len(items)
-        if used >= limit:
-            yield part
-            part, used = [], 0
-    if part:
-        yield part
+def _spelled(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text"), strict=True):
+                found = list(windows(text.as_py(), size))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([item] * len(found), pa.int64())], names=["spelled", "item"])
+
+    return run
 
 
 @lru_cache(1)
 def _automaton(shared: Broadcast) -> ahocorasick.Automaton:
     automaton = ahocorasick.Automaton()
-    for key, size, items in shared.value:
-        automaton.add_word(key, (size, items))
+    for key, items in shared.value:
+        automaton.add_word(key.decode("latin-1"), (key.count(b" ") - 1, items))
     automaton.make_automaton()
     return automaton
 
 
 def broadcast_windows(benchmark: DataFrame, size: int = WINDOW, limit: int = AUTOMATON_BYTES) -> list[Broadcast]:
-    """The windows of all items in parts of bounded size, each to become an automaton."""
+    """The windows of all items in parts of about ``limit`` bytes, each to become an automaton."""
     context = benchmark.sparkSession.sparkContext
-    rows = benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator()
-    return [context.broadcast(part) for part in _dealt(windows(((r[0], r[1]) for r in rows), size), limit)]
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    found = rows.mapInArrow(_spelled(size), "spelled binary, item long").groupBy("spelled").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    found = materialize(found, "benchmark-windows")
+    total = found.agg(F.sum(F.octet_length("spelled") + 8 * F.size("items")).alias("n")).first()["n"] or 0
+    parts = -(-total // limit)
+    dealt = (found.where(F.pmod(F.xxhash64("spelled"), F.lit(parts)) == k) for k in range(parts))
+    return [context.broadcast([(bytes(r["spelled"]), tuple(r["items"])) for r in part.toLocalIterator()]) for part in dealt]
 
 
 def hit_words(text: str, automata: list[ahocorasick.Automaton]) -> tuple[int, np.ndarray | None, set[int]]:
@@ -121,6 +129,21 @@ def _states(texts: list[str], shared: list[Broadcast]) -> list[tuple[int, np.nda
     return state
 
 
+def _scanned(batches: Iterator[pa.RecordBatch], shared: list[Broadcast]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, np.ndarray | None, set[int]]]]]:
+    """Each batch with the states of its texts; several batches at once where there are several automata."""
+    held: list[pa.RecordBatch] = []
+    used = 0
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            held.append(batch)
+            used += batch.column("text").nbytes
+        if held and (batch is None or len(shared) < 2 or used >= HELD_BYTES):
+            states = iter(_states([t.as_py() or "" for b in held for t in b.column("text")], shared))
+            for b in held:
+                yield b, [next(states) for _ in range(b.num_rows)]
+            held, used = [], 0
+
+
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
 
@@ -138,10 +161,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW
     shared = broadcast_windows(benchmark, size)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column("text")]
-            state = _states(texts, shared)
-            spans = [hit_spans(t, s[1]) for t, s in zip(texts, state, strict=True)]
+        for batch, state in _scanned(batches, shared):
+            spans = [hit_spans(t.as_py() or "", s[1]) for t, s in zip(batch.column("text"), state, strict=True)]
             columns = [
                 [s[0] for s in state], [0 if s[1] is None else int(s[1].sum()) for s in state], [sorted(s[2]) for s in state],
                 [[a for a, _ in x] for x in spans], [[b for _, b in x] for x in spans],
@@ -156,8 +177,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = broadcast_windows(benchmark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            state = _states([t.as_py() or "" for t in batch.column("text")], shared)
+        for batch, state in _scanned(batches, shared):
             clean = [s[1] is None or not contaminated(s[0], int(s[1].sum())) for s in state]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
