@@ -5,13 +5,14 @@ Jaccard similarity t or more lack at most n - ceil(t n) of each other's tokens,
 a prefix of each that can't be lacking as a whole must share something:
 
 * class 1 (rare tokens) is indexed by single tokens,
-* class 2 (frequent tokens) by combinations of ``2`` tokens. A class-k token counts
-  only from the k-th on, so the prefix is extended by k - 1 tokens for it.
+* class 2 (frequent tokens) by combinations of ``2`` tokens, for texts of any length.
 
-Combinations multiply with the length of a prefix, so they serve sets of up to
-``SHORT`` tokens, the ones that boilerplate can fill. Longer sets use single tokens
-throughout; sets from t * SHORT to SHORT tokens index both ways, so that every pair
-meets in one way.
+All combinations of a long prefix would be too many, so frequent tokens are dealt by
+hash into g groups and only tokens of one group are combined. The prefix is extended
+by g tokens for them: of g + 1 shared tokens two are in one group. g grows with the
+sets (the larger one's size, as a power of two, by ``GROUP_PART``), so a set of n
+tokens has at most about 1.4 n combinations; a set near the next power of two is
+indexed with that one's groups too, which is counted in this.
 
 Frequencies come from lossy counting over all texts (each task counts the tokens
 that repeat within bounded batches, and Spark sums them). They only steer the order
@@ -27,8 +28,8 @@ out. So large groups of near copies cost about one check per member, and no link
 between components is missed. Sets are verified on their texts.
 
 A combination's place is the number of own tokens its set has at least before the
-second shared one, so sets that only share a passage are ruled out by place as in
-plain prefix filters. More tokens to a combination would not part such sets, as a
+second shared one (those before it, less one for each group among them), so sets that
+only share a passage are ruled out by place as in plain prefix filters. More tokens to a combination would not part such sets, as a
 passage's tokens come together. Signatures with more than ``SPLIT_ROWS`` sets are cut
 into blocks over many tasks, and there the counts of tokens are compared before a pair
 is given out. Sets that come too late to be like one of their own size ("tight") are
@@ -42,7 +43,6 @@ rows of their own. Other columns than doc_id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +58,8 @@ from tarnbrook.session import materialize
 SHINGLE = 5
 #: Similarity as a fraction.
 PART, OF = 3, 4
-SHORT = 48
+#: The larger set's tokens (as a power of two) to a group of frequent ones.
+GROUP_PART = 8
 ORDERED = 1 << 20
 ORDER_FROM = 8
 CLASS_2_FROM = 256
@@ -151,27 +152,56 @@ def frequent_tokens(profile: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], rows.column("times").to_numpy()[order]
 
 
+def token_groups(n: int) -> int:
+    """Into how many groups frequent tokens are dealt where the larger of two sets has ``n`` tokens: a power of two, equal from each power of two to the next."""
+    return max(1, (1 << n.bit_length() - 1) // GROUP_PART)
+
+
+def combined(token: np.ndarray, rare: int, end: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, place) of the pairs of tokens of one group among the tokens from ``rare`` to ``end``."""
+    token = token[rare:end]
+    group = (mix(token, 7) & np.uint64(groups - 1)).astype(np.int64)
+    opens = np.zeros(len(token), dtype=np.int64)
+    opens[np.unique(group, return_index=True)[1]] = 1
+    place = rare + np.arange(len(token)) - (np.cumsum(opens) - opens)
+    order = np.argsort(group, kind="stable")
+    token, group, place = token[order], group[order], place[order]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for apart in range(1, len(token)):
+        at = np.flatnonzero(group[apart:] == group[:-apart])
+        if not len(at):
+            break
+        found.append((token[at], at + apart))
+    if not found:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    first, second = (np.concatenate(f) for f in zip(*found, strict=True))
+    with np.errstate(over="ignore"):
+        return mix(mix(first, 5) + token[second] + np.uint64(groups), 6), place[second]
+
+
 def signatures(token: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signature, place) of one set, given its tokens and their frequencies.
 
-    At two similar sets' first shared tokens, each shares at most what follows its
-    place. For a combination that is one less than the place of its second token.
+    Two similar sets meet in a signature at whose places each of them shares at most
+    what follows: single tokens at their own place, combinations at their second
+    token's, less the groups that stand before it among the frequent tokens.
     """
     n = len(token)
     order = np.lexsort((token, times))
     token, times = token[order], times[order]
-    lacking = n - -(-PART * n // OF)
-    single = lacking + 1 if n * OF >= SHORT * PART else 0
-    pairs, places = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    if n <= SHORT:
-        rare = int(np.searchsorted(times, CLASS_2_FROM))
-        single = max(single, min(rare, lacking + 1))
-        if rare < lacking + 1:
-            at = np.array(list(combinations(range(rare, lacking + 2), 2)), dtype=np.int64)
-            with np.errstate(over="ignore"):
-                pairs = mix(mix(token[at[:, 0]], 5) + token[at[:, 1]], 6)
-            places = at[:, 1] - 1
-    return np.concatenate((token[:single], pairs)), np.concatenate((np.arange(single), places))
+    needed = -(-PART * n // OF)
+    rare = int(np.searchsorted(times, CLASS_2_FROM))
+    single = min(rare, n - needed + 1)
+    found = [(token[:single], np.arange(single))]
+    own, above = token_groups(n), token_groups(OF * n // PART)
+    if rare <= n - needed:
+        found.append(combined(token, rare, n - needed + own + 1, own))
+    if above != own:
+        # Sets of the next power of two share more with this one.
+        needed = -(-PART * (1 << n.bit_length()) // OF)
+        if rare <= n - needed:
+            found.append(combined(token, rare, n - needed + above + 1, above))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 _SIGNATURES = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])

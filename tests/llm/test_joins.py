@@ -97,6 +97,7 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, often):
     texts = ODD + [v for s in range(12) for v in variants(s, 6, 12 + 9 * s)] + [passage + " " + v for v in variants(99, 20, 14)] + [passage + f" tail{i} end{i}" for i in range(20)]
     if often == 256:
         texts += small(spark)
+    texts += [v for length in (150, 400, 1500) for v in variants(length, 6, length)]
     out = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_sets(make(spark, texts)).collect()}
     assert out == brute_similar(texts)
 
@@ -108,22 +109,36 @@ def test_jaccard_at_the_limit(spark):
     assert {r["doc_id"]: r["component_id"] for r in jaccard.similar_sets(make(spark, texts)).collect()} == {k: v[1] for k, v in brute_similar(texts).items()}
 
 
-def test_signatures_meet():
-    """Any two sets that are similar enough share a signature, whatever the frequencies."""
+@pytest.mark.parametrize("longest, frequent", [(90, 344), (90, 600), (900, 344), (900, 600), (4000, 600)])
+def test_signatures_meet(longest, frequent):
+    """Any two sets that are similar enough share a signature whose places fit; ``frequent`` of 600 tokens are of class 2."""
     rng = np.random.default_rng(3)
-    for _ in range(400):
-        n = int(rng.integers(3, 90))
+    met = 0
+    for _ in range(400 if longest < 1000 else 60):
+        n = int(rng.integers(3, longest))
         token = np.unique(rng.integers(1, 1 << 60, n).astype(np.uint64))
-        a = token[: len(token) - int(rng.integers(0, len(token) // 8 + 1))]
-        b = token[int(rng.integers(0, len(token) // 8 + 1)) :]
+        # Cut at both ends, or (of subsets) down to three quarters, the largest difference in size.
+        cuts = [int(rng.integers(0, len(token) // 8 + 1)) for _ in range(2)] if rng.random() < 0.5 else [len(token) // 4, 0]
+        a, b = token[: len(token) - cuts[0]], token[cuts[1] :]
         both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-        times = lambda t: (t % np.uint64(600)).astype(np.int64)
+        times = lambda t: (t % np.uint64(600)).astype(np.int64) + (frequent - 344)
         if 4 * both >= 3 * union and len(a) >= 3 and len(b) >= 3 and union > both:
             x, y = jaccard.signatures(a, times(a)), jaccard.signatures(b, times(b))
             common = np.intersect1d(x[0], y[0])
             fits = [bool(jaccard._fits(len(a), x[1][x[0] == s][0], len(b), y[1][y[0] == s][0])) for s in common]
             assert any(fits)
             assert jaccard.most_shared(jaccard._counts(jaccard.sketch(a)), jaccard._counts(jaccard.sketch(b))) >= both
+            met += 1
+    assert met > 20
+
+
+def test_combinations_stay_linear():
+    """A set of frequent tokens only has less than 1.6 signatures a token, and none of one token."""
+    rng = np.random.default_rng(4)
+    for n in (64, 100, 127, 500, 1023, 5000, 20000):
+        token = rng.integers(1, 1 << 60, n).astype(np.uint64)
+        sig, place = jaccard.signatures(token, np.full(n, 1000))
+        assert len(sig) < 1.6 * n and not len(np.intersect1d(sig, token)) and place.min() >= 0
 
 
 def licensed(count, passage=40, own=9):
@@ -136,7 +151,10 @@ def test_shared_passages_are_told_apart_by_place():
     a, b = (np.concatenate((token, np.arange(k, k + 9, dtype=np.uint64))) for k in (100, 200))
     x, y = (jaccard.signatures(t, np.where(t < 100, 3000, 0)) for t in (a, b))
     common = np.intersect1d(x[0], y[0])
-    assert len(common) == 9  # 6 combinations and 3 single tokens
+    # Own tokens come first; 45 - 34 + 4 tokens are combined, and one more, in 4 groups.
+    in_order = token[: 45 - 34 + 4 + 1 - 9]
+    groups = [int(g) for g in jaccard.mix(in_order, 7) & np.uint64(jaccard.token_groups(45) - 1)]
+    assert len(common) == sum(groups[i] == groups[j] for i in range(7) for j in range(i)) > 0
     assert not any(jaccard._fits(45, x[1][x[0] == s][0], 45, y[1][y[0] == s][0]) for s in common)
 
 
