@@ -29,8 +29,8 @@ between components is missed. Sets are verified on their texts.
 
 A combination's place is the number of own tokens its set has at least before the
 second shared one (those before it, less one for each group among them), so sets that
-only share a passage are ruled out by place as in plain prefix filters. More tokens to a combination would not part such sets, as a
-passage's tokens come together. Signatures with more than ``SPLIT_ROWS`` sets are cut
+only share a passage are ruled out by place as in plain prefix filters. More tokens to
+a combination would not part such sets, as a passage's tokens come together. Signatures with more than ``SPLIT_ROWS`` sets are cut
 into blocks over many tasks, and there the counts of tokens are compared before a pair
 is given out. Sets that come too late to be like one of their own size ("tight") are
 compared only with the others there, as no two of them can be similar enough.
@@ -53,6 +53,7 @@ from pyspark.sql import functions as F
 
 from tarnbrook.llm.arrays import SPACED_LOWER, chunks, grams, mix, ranges, text_bytes, words
 from tarnbrook.llm.components import connect
+from tarnbrook.operators.lookup import find_hot_keys, lookup
 from tarnbrook.session import materialize
 
 SHINGLE = 5
@@ -489,9 +490,11 @@ def similar_sets(docs: DataFrame) -> DataFrame:
     second = materialize(verify(materialize(possible, "possible-pairs"), texts), "verified")
     labels = connect(links.union(second.where("linked").select("a", "b")))
 
-    placed = sets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # A set with many copies and a component with many rows are hot keys of these joins.
+    placed = lookup(sets, labels, "node", find_hot_keys(sets, ["node"])["node"], ["doc_id"]).withColumn("root", F.coalesce("root", "node"))
+    placed = materialize(placed, "placed")
     smallest = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return placed.join(smallest, "root", "left").select(
+    return lookup(placed, smallest, "root", find_hot_keys(placed, ["root"])["root"], ["doc_id"]).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
