@@ -369,3 +369,42 @@ def test_a_merge_reads_only_the_range_of_its_keys(spark, tmp_path, capsys):
     assert near.count() == 100
     flights = spark.createDataFrame([], DIM_FLIGHT.schema)
     assert key_range(flights, flights, DIM_FLIGHT) is flights  # hashed keys have no range
+
+
+def test_net_changes_of_several_versions_are_worked_out_once(spark, tmp_path, rows, monkeypatch):
+    """Two core statements that the mart takes together: one grouping by key, not one for every table and use."""
+    from tarnbrook.sources import tables
+
+    put(tmp_path / "in", "a.csv", [line(n) for n in range(12)])
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.advance()
+    one = change_rows(spark, ("INSERT", True, line(1, first_name="New")), ("DELETE", False, line(2)))
+    warehouse.merge_core(one.withColumn("_load", F.lit(1).cast("long")).withColumn("_pos", F.lit(0).cast("long")))
+    grouped, collapse = [], tables.collapse
+    monkeypatch.setattr(tables, "collapse", lambda *a: grouped.append(a) or collapse(*a))
+    warehouse.apply_changes(change_rows(spark, ("DELETE", False, line(1)), ("INSERT", False, line(2, first_name="Back")), ("DELETE", False, line(3))))
+    assert len(grouped) == 1
+    assert not warehouse._net
+    assert counts(warehouse) == {
+        "passengers_cleaned": 10, "dim_passenger": 10, "dim_airport": 4, "dim_flight": 10, "dim_date": 10,
+        "fact_passenger_flight": 10,
+    }
+    assert rows(warehouse[DIM_PASSENGER].read().where("passenger_id = 'P00002'"), "first_name") == [("Back",)]
+
+
+def test_keys_that_come_once_are_not_grouped(spark, tmp_path, monkeypatch):
+    """Only a load with a repeated key has its rows brought together by key."""
+    from tarnbrook.plans import warehouse as module
+
+    grouped, latest = [], module.latest_per_key
+    monkeypatch.setattr(module, "latest_per_key", lambda *a: grouped.append(a) or latest(*a))
+    warehouse = Warehouse(spark, str(tmp_path / "db"))
+    put(tmp_path / "in", "a.csv", [line(n) for n in range(6)])
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.load_core()
+    assert not grouped and warehouse[CORE].rows == 6 and warehouse[QUARANTINE].read().isEmpty()
+    put(tmp_path / "in", "b.csv", [line(7), line(8), line(8, first_name="Again")])
+    warehouse.load_files(str(tmp_path / "in"))
+    warehouse.load_core()
+    assert len(grouped) == 1 and warehouse[CORE].rows == 8 and warehouse[QUARANTINE].read().count() == 1
