@@ -5,7 +5,7 @@ from tarnbrook.operators.changes import (
     as_of, change_pairs, collapse, has_changes, net_changes, net_changes_between,
 )
 from tarnbrook.operators.dedupe import latest_per_key
-from tarnbrook.operators.lookup import HotKeys, find_hot_keys, lookup
+from tarnbrook.operators.lookup import HotKeys, find_hot_keys, hot_keys_of_written, lookup
 from tarnbrook.operators.policy import CONTINENT_EUROPE, VIEW_COLUMNS, RowPolicy, flights_airports, flights_airports_secure
 from tarnbrook.operators.quality import (
     Rule, assert_unique, key_report, not_null, orphans, reference_report, split_quarantine, tag_violations, width,
@@ -58,6 +58,13 @@ def test_hot_keys_are_found(skewed):
     assert not found["row"]
 
 
+def test_hot_keys_are_found_in_full_buckets_only(spark, skewed, monkeypatch):
+    assert hot_keys_of_written(skewed, ["k", "row"]) == find_hot_keys(skewed, ["k", "row"])
+    monkeypatch.setattr("tarnbrook.operators.lookup.find_hot_keys", None)
+    assert hot_keys_of_written(skewed, ["row"]) == {"row": HotKeys()}
+    assert hot_keys_of_written(skewed.limit(0), ["k"]) == {"k": HotKeys()}
+
+
 def test_spread_lookup_equals_the_plain_join(spark, skewed, rows):
     dim = skewed.select("k").distinct().where("k is null or k <> '5'").withColumn("sk", F.xxhash64("k"))
     plain = skewed.join(dim, "k", "left")

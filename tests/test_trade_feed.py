@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnbrook.operators.surrogate import assign_surrogate_keys
-from tarnbrook.plans.trade_feed import line_order, numbered_rows, passenger_rows
+from tarnbrook.plans import star
+from tarnbrook.plans.queries import star as whole_star
+from tarnbrook.plans.trade_feed import line_order, numbered_rows, passenger_rows, tie_break
+from tarnbrook.schemas import FACT
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +40,28 @@ def test_numbers_follow_the_line_order(spark, folder, rows, most_rows):
 def test_wide_rows_are_not_dealt_by_ranges(spark, folder):
     plan = numbered_rows(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "WindowGroupLimit" not in plan
+
+
+@pytest.mark.parametrize("small", [star.SMALL, 0])
+def test_star_of_written_lines(spark, folder, rows, monkeypatch, small):
+    monkeypatch.setattr(star, "SMALL", small)
+    sketched, sketch = [], star.hot_keys_of_written
+    monkeypatch.setattr(star, "hot_keys_of_written", lambda df, keys: sketched.extend(keys) or sketch(df, keys))
+    built, core = whole_star(spark, folder), passenger_rows(spark, folder)
+    # Dimensions that are broadcast need no search for hot keys.
+    assert sorted(sketched) == ([] if small else sorted(star.LOOKUPS))
+    plain = {name: star.build_dimension(core, plan, tie_break()) for name, plan in star.DIMENSION_PLANS.items()}
+    for name, dim in plain.items():
+        assert rows(built[name]) == rows(dim.select(*built[name].columns))
+    assert rows(built[FACT.name]) == rows(star.fact_rows(core, plain))
+
+
+def test_the_last_day_of_a_key_is_enough(spark, rows):
+    made = ["if(id % 7 = 0, null, concat('A', id % 5)) arrival_airport", "concat('N', id) airport_name", "'C' airport_country_code",
+            "'X' country_name", "'E' airport_continent", "'EUROPE' continents"]
+    day = "if(id % 5 = 1 or id % 3 = 0, null, date_add(date'1995-01-01', cast(id % 40 as int))) departure_date"
+    core = spark.range(400).selectExpr(*made, day, "id")
+    plan = star.AIRPORT_PLAN
+    kept = plan.on_last_day(core)
+    assert kept.count() < core.count()
+    assert rows(plan.latest(kept, ["id desc"])) == rows(plan.latest(core, ["id desc"]))
