@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame
 
 # Fixed value: how byte-level BPE splits a text before the merges.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+# Words, and pieces, of one generation; a task that does nothing else has room for more.
 REMEMBERED = 100_000
+REMEMBERED_ALONE = 250_000
 PAIRS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 
@@ -48,13 +50,14 @@ def _byte_letters() -> dict[str, int]:
 class Memory:
     """What was seen before, in two generations: when the young one is full, the old one is forgotten."""
 
-    def __init__(self) -> None:
+    def __init__(self, size: int) -> None:
+        self.size = size
         self.young: dict = {}
         self.old: dict = {}
 
     def keep(self, key: str, value: object) -> None:
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self.young) >= REMEMBERED:
+            if len(self.young) >= self.size:
                 self.young, self.old = {}, self.young
             self.young[key] = value
 
@@ -62,7 +65,8 @@ class Memory:
 class PrefixBpe:
     """Encoder and decoder for a ``tokenizers`` file with a byte-level BPE model."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, letters = spec["model"], _byte_letters()
@@ -97,13 +101,13 @@ class PrefixBpe:
         for token, i in self.whole.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, i))
         self.automaton.make_automaton()
-        self.words, self.parts = Memory(), Memory()
+        self.words, self.parts = Memory(self.remembered), Memory(self.remembered)
         self.decimals = [str(i) for i in range(self.size)]
         self.spelled = [self.token.get(i, b"") for i in range(self.size)]
 
     def forget(self) -> None:
         """Free what was remembered, so that a worker that waits for other work holds no more than the tables."""
-        self.words, self.parts = Memory(), Memory()
+        self.words, self.parts = Memory(self.remembered), Memory(self.remembered)
         self.fits.clear()
 
     def _stays(self, token: bytes, i: int) -> bool:
@@ -255,8 +259,8 @@ class PrefixBpe:
 
 
 @lru_cache(2)
-def encoder(path: str) -> PrefixBpe:
-    return PrefixBpe(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> PrefixBpe:
+    return PrefixBpe(path, remembered)
 
 
 def _lists(ids: list[array]) -> pa.Array:
@@ -297,9 +301,9 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def _report(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
+def _report(docs: DataFrame, path: str, with_ids: bool, remembered: int = REMEMBERED) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(path, remembered)
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         for part in _parts(batches):
             kept, counts, listed_sha, decoded_sha = [], [], [], []
@@ -326,4 +330,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
 def token_report(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``round_trip`` without the ids themselves."""
-    return _report(docs, path, with_ids=False)
+    return _report(docs, path, with_ids=False, remembered=REMEMBERED_ALONE)

@@ -115,6 +115,14 @@ def test_bpe_equals_the_library(spark, table):
         assert out[i]["decoded_sha256"] == sha(library.decode(want, skip_special_tokens=False)) == sha(back[i])
 
 
+@pytest.mark.parametrize("remembered", [1, 3, 1000])
+def test_bpe_remembers_as_many_words_as_told(remembered):
+    text = " ".join(f"word{'abcdefghij'[i % 10]}{'klm'[i % 3]} don't x{i}y" for i in range(60))
+    encoder = bpe.PrefixBpe(VOCABULARY, remembered)
+    assert encoder.encode(text) == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+    assert 0 < max(len(encoder.words.young), len(encoder.words.old)) <= remembered
+
+
 # Decontamination
 
 
